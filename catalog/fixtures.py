@@ -8,6 +8,7 @@ comma texts here and become arrays in each engine.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -339,15 +340,11 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _LANDED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived input, read from files as a job reads its snapshots.
-
-    It is written once per session, so that a query reads only the columns it
-    needs and its plan holds the operator and not the making of its input.
-    """
+def land(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table written once per session and read back from its files."""
     where = (spark.sparkContext.applicationId, sf_dir, name)
     if where not in _LANDED:
-        made = derive(spark, sf_dir, name)
+        made = make()
         path = scratch_path(spark, name)
         made.write.parquet(path)
         _LANDED[where] = (path, made.schema)
@@ -355,6 +352,15 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A derived input, read from files as a job reads its snapshots.
+
+    A query then reads only the columns it needs, and its plan holds the
+    operator and not the making of its input.
+    """
+    return land(spark, sf_dir, name, lambda: derive(spark, sf_dir, name))
+
+
 def directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The previous directory with its list and map columns."""
     df = load(spark, sf_dir, "fx_directory")

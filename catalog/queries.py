@@ -79,11 +79,12 @@ def roster(spark, d):
 
 
 def classified(spark, d):
-    return RO.classify_roster(roster(spark, d), SYNC)
+    """The cleaned roster, which a sync run writes before it goes on."""
+    return fx.land(spark, d, "cleaned", lambda: RO.classify_roster(roster(spark, d), SYNC))
 
 
 def parsed(spark, d):
-    return RO.parse_roster(roster(spark, d), SYNC)
+    return RO.parsed_rows(classified(spark, d))
 
 
 def judged(spark, d):
@@ -341,7 +342,7 @@ def assign_region(spark, d):
 
 @query
 def parse_roster(spark, d):
-    return flat(parsed(spark, d))
+    return flat(RO.parse_roster(roster(spark, d), SYNC))
 
 
 @query

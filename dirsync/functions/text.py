@@ -61,16 +61,22 @@ def slugify(n: Column) -> Column:
     return F.btrim(F.regexp_replace(bare, "[^a-z0-9]+", "-"), F.lit("-"))
 
 
+def _unmarked(trimmed: Column) -> Column:
+    """Trimmed text without its marker; the pattern is tried only where it can hit."""
+    return F.when(trimmed.startswith("0"), strip(F.regexp_replace(trimmed, NUMBERED_PREFIX, ""))).otherwise(trimmed)
+
+
 def strip_prefix(n: Column) -> Column:
     """Drop a leading ``0NN - `` marker, then trim."""
-    return strip(F.regexp_replace(strip(n), NUMBERED_PREFIX, ""))
+    return _unmarked(strip(n))
 
 
 def joined_name(first: Column, last: Column, preferred: Column, full: Column) -> Column:
     """Name from parts that are already trimmed and without markers."""
-    given = F.coalesce(F.nullif(preferred, F.lit("")), first)
-    joined = strip(F.concat_ws(" ", given, last))
-    return null_if_blank(strip_prefix(F.coalesce(F.nullif(joined, F.lit("")), full)))
+    none = F.lit("")
+    given = F.coalesce(F.nullif(preferred, none), F.nullif(first, none))
+    joined = F.concat_ws(" ", given, F.nullif(last, none))
+    return F.nullif(_unmarked(F.coalesce(F.nullif(joined, none), full)), none)
 
 
 def display_name(first: Column, last: Column, preferred: Column, full: Column) -> Column:

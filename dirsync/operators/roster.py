@@ -128,7 +128,7 @@ def classify_roster(raw: DataFrame, cfg: SyncConfig) -> DataFrame:
         F.when(col("second"), cfg.second_source).otherwise(F.lit(cfg.main_source)).alias("source"),
         "role",
         "active",
-        "pos",
+        F.coalesce("pos", F.monotonically_increasing_id()).alias("pos"),
     )
     marked = mark_members(cleaned, "id", cfg.suppressed_ids, "__suppressed")
     dropped = (
