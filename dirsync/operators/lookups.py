@@ -14,15 +14,19 @@ BROADCAST_ENTRIES = 100_000
 def lookup(left: DataFrame, right: DataFrame, key: Column, right_key: str, pos: str = "pos") -> DataFrame:
     """Left join of every row to a table that is unique on ``right_key``.
 
-    A row without a key finds nothing.  It gets a key of its own (no stored key
-    starts with NUL), so that rows without a key spread over all tasks instead
-    of meeting in one.  A much repeated key is on the left side only, where
-    adaptive execution may split it.  The join picks its own strategy: nothing
-    here is broadcast by hint.
+    A row without a key finds nothing; it is joined under its own position, so
+    that such rows spread over all tasks instead of meeting in one.
+
+    A much repeated key can only be on the left.  Both sides join on a text
+    built here, which no earlier grouping is partitioned by: each side gets an
+    exchange of its own, and that is what lets adaptive execution split the
+    left partition of a hot key.  Nothing is broadcast by hint.
     """
-    own = F.concat(F.lit("\0"), F.col(pos).cast("string"))
-    keyed = left.withColumn("__key", F.coalesce(key, own))
-    return keyed.join(right.withColumnRenamed(right_key, "__key"), "__key", "left").drop("__key")
+    keyed = left.withColumn(
+        "__key", F.coalesce(F.concat(F.lit("k"), key), F.concat(F.lit("n"), F.col(pos).cast("string")))
+    )
+    table = right.withColumn("__key", F.concat(F.lit("k"), F.col(right_key))).drop(right_key)
+    return keyed.join(table, "__key", "left").drop("__key")
 
 
 def lookup_row(left: DataFrame, right: DataFrame, row: str, right_row: str, pos: str = "pos") -> DataFrame:

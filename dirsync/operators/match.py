@@ -23,9 +23,13 @@ class MatchIndex(NamedTuple):
     name: DataFrame
 
 
+def _typed(kind: Column, value: Column) -> Column:
+    return F.concat(kind, F.lit(":"), value)
+
+
 def _key(kind: str, c: Column) -> Column:
     """Typed key text, null when the value is blank, so blanks never meet."""
-    return F.concat(F.lit(f"{kind}:"), F.nullif(c, F.lit("")))
+    return _typed(F.lit(kind), F.nullif(c, F.lit("")))
 
 
 def previous_keys(directory: DataFrame) -> DataFrame:
@@ -33,19 +37,20 @@ def previous_keys(directory: DataFrame) -> DataFrame:
 
     E-mail and id point to the last row that has them; a name key is usable
     only if exactly one row has it.  One scan, one aggregate that combines
-    before the shuffle.
+    before the shuffle.  The typed key is built after the grouping, so that a
+    join on it gets an exchange that adaptive execution can split.
     """
-    keys = F.array(
-        _key("email", F.lower("email")), _key("id", F.col("id")), _key("name", name_key(F.col("name")))
-    )
-    return (
-        directory.select(F.col("pos").alias("row_id"), F.explode(keys).alias("key"))
-        .where("key is not null")
-        .groupBy("key")
+    values = {"email": F.lower("email"), "id": F.col("id"), "name": name_key(F.col("name"))}
+    keys = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in values.items()])
+    usable = (
+        directory.select(F.col("pos").alias("row_id"), F.explode(keys).alias("k"))
+        .select("row_id", "k.*")
+        .where("value <> ''")
+        .groupBy("kind", "value")
         .agg(F.max("row_id").alias("row_id"), F.count(F.lit(1)).alias("n"))
-        .where(~F.col("key").startswith("name:") | (F.col("n") == 1))
-        .drop("n")
+        .where("kind <> 'name' OR n = 1")
     )
+    return usable.select("kind", "value", _typed(F.col("kind"), F.col("value")).alias("key"), "row_id")
 
 
 def match_index(directory: DataFrame) -> MatchIndex:
@@ -53,8 +58,7 @@ def match_index(directory: DataFrame) -> MatchIndex:
     keys = previous_keys(directory)
 
     def part(kind: str) -> DataFrame:
-        mine = keys.where(F.col("key").startswith(f"{kind}:"))
-        return mine.select(F.substring("key", len(kind) + 2, 1 << 20).alias("key"), "row_id")
+        return keys.where(F.col("kind") == kind).select(F.col("value").alias("key"), "row_id")
 
     return MatchIndex(part("email"), part("id"), part("name"))
 
@@ -78,7 +82,7 @@ def tiered_match(incoming: DataFrame, directory: DataFrame, cfg: SyncConfig) ->
         F.struct(F.lit(NAME).alias("tier"), _key("name", name_key(F.col("name"))).alias("key")),
     )
     wanted = paired.select(F.col("pos").alias("in_pos"), F.explode(offers).alias("o")).select("in_pos", "o.*")
-    hits = wanted.where("key is not null").join(previous_keys(directory), "key")
+    hits = wanted.where("key is not null").join(previous_keys(directory).select("key", "row_id"), "key")
     return hits.groupBy("in_pos").agg(F.min_by("row_id", "tier").alias("row_id"), F.min("tier").alias("tier"))
 
 

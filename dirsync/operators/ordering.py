@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lookups import lookup
+
 # Positions per block when rows are numbered in order of ``pos``.
 BLOCK_WIDTH = 1_000_000
 
@@ -38,9 +40,9 @@ def retain_n(snapshots: DataFrame, n: int, series: str = "series", ts: str = "ts
     """
     newest = Window.partitionBy(series).orderBy(F.desc(ts), F.desc(tie))
     top = snapshots.select(series, ts, tie).withColumn("rn", F.row_number().over(newest)).where(F.col("rn") <= n)
-    floor = top.groupBy(series).agg(F.min(F.struct(ts, tie)).alias("__floor"))
+    floor = top.groupBy(F.col(series).alias("__s")).agg(F.min(F.struct(ts, tie)).alias("__floor"))
     return (
-        snapshots.join(floor, series)
+        lookup(snapshots, floor, F.col(series), "__s", pos=tie)
         .withColumn("keep", F.struct(ts, tie) >= F.col("__floor"))
         .drop("__floor")
     )

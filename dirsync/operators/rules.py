@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import FLAG_DUPLICATE, FLAG_JUNK, FLAG_MISSING, FLAG_NO_REGION, SyncConfig
 from ..functions import name_key
+from .lookups import lookup
 
 # Texts of the review reports.
 ACTIONS = {
@@ -146,7 +147,8 @@ def dup_members(valid: DataFrame) -> DataFrame:
     """
     keyed = valid.select("pos", "email", "name", name_key(F.col("name")).alias("name_key")).where("name_key <> ''")
     shared = keyed.groupBy("name_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return keyed.join(shared, "name_key")
+    found = lookup(keyed, shared.withColumnRenamed("name_key", "__shared"), F.col("name_key"), "__shared")
+    return found.where("n is not null")
 
 
 def dup_names(valid: DataFrame, cfg: SyncConfig) -> DataFrame:
@@ -162,7 +164,7 @@ def dup_names(valid: DataFrame, cfg: SyncConfig) -> DataFrame:
         members.where(F.col("n") <= cfg.inline_group_limit)
         .groupBy("name_key")
         .agg(F.array_sort(F.collect_list(F.struct("pos", "email"))).alias("__rows"))
-        .select("name_key", F.array_join(F.col("__rows.email"), ", ").alias("__emails"))
+        .select(F.col("name_key").alias("__listed"), F.array_join(F.col("__rows.email"), ", ").alias("__emails"))
     )
     shown = F.coalesce("__emails", F.concat(F.lit("all rows of name key "), F.col("name_key")))
     firsts = valid.groupBy("email").agg(F.min("pos").alias("__first")).join(
@@ -170,7 +172,7 @@ def dup_names(valid: DataFrame, cfg: SyncConfig) -> DataFrame:
     )
     names = valid.select(F.col("pos").alias("__first"), F.col("name").alias("__name")).join(firsts, "__first")
     return (
-        members.join(listed, "name_key", "left")
+        lookup(members, listed, F.col("name_key"), "__listed")
         .join(names.select("email", "__name"), "email")
         .select(
             F.col("__name").alias("name"),
