@@ -718,10 +718,6 @@ def sales_funnel(spark, d):
 # 2.7 Windows, sorts, top-k.
 
 
-def _ranked(df):
-    return df.withColumn("place", F.monotonically_increasing_id())
-
-
 @query
 def sort_name(spark, d):
     return O.sort_name(merged(spark, d)).select("name", "email", "pos")
@@ -766,7 +762,13 @@ def preview_k(spark, d):
     """The feature is the limit: the first 10 rows, and how many remain."""
     bare = flags(spark, d).where("flag = 'NO_REGION'")
     rows = O.preview_k(bare, 10, "pos")
-    return rows.select("rank", F.coalesce("name", F.lit("")).alias("name"), F.coalesce("email", F.lit("")).alias("email"), F.coalesce("remaining", F.lit(-1)).alias("remaining")).withColumn("rank", F.col("rank").cast("bigint"))
+    blank, none = F.lit(""), F.lit(-1)
+    return rows.select(
+        F.col("rank").cast("bigint").alias("rank"),
+        F.coalesce("name", blank).alias("name"),
+        F.coalesce("email", blank).alias("email"),
+        F.coalesce("remaining", none).alias("remaining"),
+    )
 
 
 @query
