@@ -643,7 +643,7 @@ SELECT coalesce(old.key, bad.key) AS key, CAST(CASE WHEN n IS NOT NULL THEN {RUN
   CAST(coalesce(failure_count, 0) + coalesce(n, 0) AS BIGINT) AS failure_count
 FROM old FULL OUTER JOIN bad ON bad.key = old.key
 """,
-    "cache_upsert_geocode": """
+    "cache_upsert": """
 SELECT * FROM fx_geofound WHERE lat IS NOT NULL UNION ALL
 SELECT * FROM fx_geocache WHERE query NOT IN (SELECT query FROM fx_geofound WHERE lat IS NOT NULL)
 """,
@@ -705,13 +705,13 @@ SELECT series, run_id, row_number() OVER (PARTITION BY series ORDER BY ts DESC)
     "first_of_day": "SELECT run_id, first_of_day FROM o_runs",
     "change_reason": """
 SELECT run_id, "count", coalesce(previous, -1) AS previous, CASE WHEN first_of_day THEN 'first sync of the day (UTC)'
-  WHEN previous > 0 AND "count" <> previous THEN 'count changed: ' || previous || ' → ' || "count" || ' (' || printf('%.1f%%', round(change * 100, 1)) || ')'
+  WHEN previous > 0 AND "count" <> previous THEN 'count changed: ' || previous || ' → ' || "count" || ' (' || printf('%.1f%%', change * 100) || ')'
   ELSE 'routine sync (every backup committed for safety)' END AS reason, true AS keep_copy FROM o_changes
 """,
     "change_reason_threshold": """
 SELECT run_id, "count", coalesce(previous, -1) AS previous, CASE WHEN first_of_day THEN 'first sync of the day (UTC)'
-  WHEN previous > 0 AND change >= 0.05 THEN 'significant change: ' || printf('%.1f%%', round(change * 100, 1))
-  WHEN previous > 0 THEN 'routine sync, ' || printf('%.1f%%', round(change * 100, 1)) || ' change'
+  WHEN previous > 0 AND change >= 0.05 THEN 'significant change: ' || printf('%.0f%%', change * 100) || ' (threshold: 5%)'
+  WHEN previous > 0 THEN 'routine sync, ' || printf('%.1f%%', change * 100) || ' change (under 5% threshold)'
   ELSE '' END AS reason, first_of_day OR (previous > 0 AND change >= 0.05) AS keep_copy FROM o_changes
 """,
     "preview_k": """

@@ -26,7 +26,7 @@ from dirsync.operators import roster as RO
 from dirsync.operators import rules as RU
 from dirsync.operators import sales as S
 from dirsync.operators import summaries as SU
-from dirsync.operators.caches import cache_upsert
+from dirsync.operators.caches import cache_upsert as upsert
 from dirsync.operators.lookups import lookup_default
 from dirsync.schemas import GEOCODE_CACHE, TEMPORARY_COLUMNS
 from dirsync.session import scratch_path
@@ -638,13 +638,16 @@ def retry_update(spark, d):
 
 
 @query
-def cache_upsert_geocode(spark, d):
-    return cache_upsert(fx.load(spark, d, "fx_geocache"), fx.load(spark, d, "fx_geofound"), "geocode")
+def cache_upsert_(spark, d):
+    return upsert(fx.load(spark, d, "fx_geocache"), fx.load(spark, d, "fx_geofound"), "geocode")
+
+
+QUERIES["cache_upsert"] = QUERIES.pop("cache_upsert_")
 
 
 @query
 def cache_upsert_scrape(spark, d):
-    return cache_upsert(fx.load(spark, d, "fx_scrape_cache"), P.scrape_results(_scraped(spark, d)), "scrape")
+    return upsert(fx.load(spark, d, "fx_scrape_cache"), P.scrape_results(_scraped(spark, d)), "scrape")
 
 
 @query
@@ -658,7 +661,7 @@ def cache_upsert_url_check(spark, d):
             "checked_at": F.lit(fn.stamp(NOW)),
         }
     )
-    return flat(cache_upsert(old, new, "url_check"))
+    return flat(upsert(old, new, "url_check"))
 
 
 def _public(spark, d):

@@ -12,6 +12,13 @@ from pyspark.sql import functions as F
 
 from .lookups import lookup
 
+# Why a run's copy is kept.
+REASON_FIRST = "first sync of the day (UTC)"
+REASON_CHANGED = "count changed: %d → %d (%s)"
+REASON_ROUTINE = "routine sync (every backup committed for safety)"
+REASON_LARGE = "significant change: %s (threshold: %s)"
+REASON_SMALL = "routine sync, %s change (under %s threshold)"
+
 # Positions per block when rows are numbered in order of ``pos``.
 BLOCK_WIDTH = 1_000_000
 
@@ -88,28 +95,30 @@ def change_reason(runs: DataFrame, threshold: float | None = None, bucket: str =
     flagged = with_previous(first_of_day(runs), "count", "previous", bucket=bucket)
     prev = F.coalesce("previous", F.lit(0))
     change = F.try_divide(F.abs(F.col("count") - prev).cast("double"), F.nullif(prev, F.lit(0)).cast("double"))
-    # Tenths of a percent, rounded half up.
-    shown = F.format_string("%.1f%%", F.round(F.col("change") * 100, 1))
-    routine = F.lit("routine sync (every backup committed for safety)")
+
+    def percent(digits: int) -> Column:
+        # format_number rounds the exact value, ties to even.
+        return F.concat(F.replace(F.format_number(F.col("change") * 100, digits), F.lit(","), F.lit("")), F.lit("%"))
+
     if threshold is None:
         later = F.when(
             (prev > 0) & (F.col("count") != prev),
-            F.format_string("count changed: %d → %d (%s)", prev, F.col("count"), shown),
-        ).otherwise(routine)
+            F.format_string(REASON_CHANGED, prev, F.col("count"), percent(1)),
+        ).otherwise(F.lit(REASON_ROUTINE))
         worthy = F.lit(True)
     else:
         large = (prev > 0) & (F.col("change") >= threshold)
+        limit = F.lit(f"{threshold:.0%}")
         later = (
-            F.when(large, F.format_string("significant change: %s", shown))
-            .when(prev > 0, F.format_string("routine sync, %s change", shown))
+            F.when(large, F.format_string(REASON_LARGE, percent(0), limit))
+            .when(prev > 0, F.format_string(REASON_SMALL, percent(1), limit))
             .otherwise(F.lit(""))
         )
         worthy = F.col("first_of_day") | large
-    first = F.lit("first sync of the day (UTC)")
     return flagged.withColumn("change", change).select(
         *flagged.columns,
         "change",
-        F.when(F.col("first_of_day"), first).otherwise(later).alias("reason"),
+        F.when(F.col("first_of_day"), REASON_FIRST).otherwise(later).alias("reason"),
         worthy.alias("keep_copy"),
     )
 

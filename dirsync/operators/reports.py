@@ -13,6 +13,15 @@ from .ordering import number_rows, sort_name, sort_role
 from .summaries import role_counts
 
 
+# Headlines of the digest.
+SECTION_HEADS = {
+    NEW: "%d new agent(s) added:",
+    SOFT_DELETE: "%d agent(s) soft-deleted (gone from the source, hidden on site, {days}-day grace before purge):",
+    PURGE: "%d agent(s) purged (gone for {days}+ days):",
+    REACTIVATED: "%d agent(s) reactivated (reappeared in the source):",
+}
+
+
 def rpt_live(directory: DataFrame) -> DataFrame:
     """All rows, with what each has."""
     return sort_name(directory).select(
@@ -86,14 +95,9 @@ def event_digest(events: DataFrame, grace_days: int = 30, aborted: str | None =
     sizes = events.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy(_section(kind)).rowsBetween(Window.unboundedPreceding, -1)
     sections = sizes.withColumn("at", F.coalesce(F.sum(F.col("n") + 2).over(before), F.lit(0)) + F.lit(top))
-    heads = {
-        NEW: "%d new agent(s) added:",
-        SOFT_DELETE: "%d agent(s) soft-deleted (gone from the source, hidden on site, "
-        f"{grace_days}-day grace before purge):",
-        PURGE: f"%d agent(s) purged (gone for {grace_days}+ days):",
-        REACTIVATED: "%d agent(s) reactivated (reappeared in the source):",
-    }
-    head = F.coalesce(*[F.when(kind == k, F.format_string(t, "n")) for k, t in heads.items()])
+    head = F.coalesce(
+        *[F.when(kind == k, F.format_string(t.format(days=grace_days), "n")) for k, t in SECTION_HEADS.items()]
+    )
     titles = sections.select(
         F.inline(
             F.array(

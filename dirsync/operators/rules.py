@@ -19,8 +19,12 @@ ACTIONS = {
     FLAG_DUPLICATE: "Verify these are different people or merge/deactivate in the source system.",
 }
 NO_REGION_REASON = "No region assigned in the source system"
+EMAIL_REASON = "email matches junk pattern: "
+NAME_REASON = "name matches junk pattern: "
+STAFF_REASON = "staff/internal account: "
 NUMBERED_REASON = "numbered prefix account with no brokerage email"
 NUMBERED = r"^0[0-9][0-9] - "
+DUPLICATE_REASON = "Same name found with %d different emails: %s"
 
 
 def junk_reason(email: Column, name: Column, cfg: SyncConfig) -> Column:
@@ -31,9 +35,9 @@ def junk_reason(email: Column, name: Column, cfg: SyncConfig) -> Column:
     """
     mail, low = F.lower(email), F.lower(name)
     lists = [
-        (mail, cfg.junk_email_patterns, "email matches junk pattern: "),
-        (low, cfg.junk_name_patterns, "name matches junk pattern: "),
-        (mail, cfg.staff_email_patterns, "staff/internal account: "),
+        (mail, cfg.junk_email_patterns, EMAIL_REASON),
+        (low, cfg.junk_name_patterns, NAME_REASON),
+        (mail, cfg.staff_email_patterns, STAFF_REASON),
     ]
     found = []
     for text, patterns, label in lists:
@@ -178,7 +182,7 @@ def dup_names(valid: DataFrame, cfg: SyncConfig) -> DataFrame:
             F.col("__name").alias("name"),
             "email",
             F.lit(FLAG_DUPLICATE).alias("flag"),
-            F.format_string("Same name found with %d different emails: %s", "n", shown).alias("reason"),
+            F.format_string(DUPLICATE_REASON, "n", shown).alias("reason"),
             F.lit(ACTIONS[FLAG_DUPLICATE]).alias("action"),
             "pos",
         )

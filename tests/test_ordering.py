@@ -36,8 +36,8 @@ def test_change_reasons(spark):
     assert plain == ["first sync of the day (UTC)", routine, "count changed: 100 → 103 (3.0%)", "count changed: 103 → 110 (6.8%)",
                      "count changed: 110 → 0 (100.0%)", routine]
     older = [(r.reason, r.keep_copy) for r in O.change_reason(df, threshold=0.05).orderBy("run_id").collect()]
-    assert older == [("first sync of the day (UTC)", True), ("routine sync, 0.0% change", False), ("routine sync, 3.0% change", False),
-                     ("significant change: 6.8%", True), ("significant change: 100.0%", True), ("", False)]
+    assert older == [("first sync of the day (UTC)", True), ("routine sync, 0.0% change (under 5% threshold)", False), ("routine sync, 3.0% change (under 5% threshold)", False),
+                     ("significant change: 7% (threshold: 5%)", True), ("significant change: 100% (threshold: 5%)", True), ("", False)]
 
 
 def test_retention(spark):
