@@ -13,9 +13,15 @@ ISO_SHAPE = (
 )
 
 
+OFFSET = r":\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2}(:?\d{2})?)$"
+
+
 def parse_iso(s: Column) -> Column:
-    """Timestamp of an ISO text; text without an offset is UTC, bad text is null."""
-    return F.when(s.rlike(ISO_SHAPE), F.try_to_timestamp(F.replace(s, F.lit(","), F.lit("."))))
+    """Timestamp of an ISO text; text without an offset is UTC whatever the session zone, bad text is null."""
+    timed = F.regexp_replace(F.replace(s, F.lit(","), F.lit(".")), r"^(.{10})$", "$1T00:00:00")
+    full = F.regexp_replace(timed, r"^(.{13}:\d{2})(Z|[+-].*)?$", "$1:00$2")
+    zoned = F.when(full.rlike(OFFSET), full).otherwise(F.concat(full, F.lit("Z")))
+    return F.when(s.rlike(ISO_SHAPE), F.try_to_timestamp(zoned))
 
 
 def utc(now: datetime) -> datetime:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import AssetConfig
 from ..functions import entity_key, is_self_hosted, is_trusted, stamp, strip, truthy, url_hash
-from .lookups import lookup
+from .lookups import lookup, settled
 
 ACQUIRE_REASONS = (
     "second_account_source_a", "upgrade_to_source_a", "source_a_changed", "no_photo_at_all",
@@ -39,42 +39,58 @@ def _real_incoming() -> Column:
     return F.coalesce("incoming_photo_real", F.lit(False)) & (_incoming() != "")
 
 
-def decision_reason(cfg: AssetConfig) -> Column:
-    """Why a row does or does not need photo work; the first rule that holds."""
+def _facts(rows: DataFrame, cfg: AssetConfig) -> DataFrame:
+    """What the decision asks of a row, each as a flag."""
     photo = strip(F.col("photo"))
-    hosted = is_self_hosted(photo, cfg.self_host_marks)
-    owner_a = strip(F.col("photo_source")) == cfg.source_a
-    same = strip(F.col("photo_hash")) == url_hash(_incoming())
-    current = hosted & F.col("stored")
+    return settled(
+        rows.withColumns(
+            {
+                "__hosted": is_self_hosted(photo, cfg.self_host_marks),
+                "__trusted": is_trusted(photo, cfg.trusted_hosts),
+                "__blank": photo == "",
+                "__real": _real_incoming(),
+                "__owner_a": strip(F.col("photo_source")) == cfg.source_a,
+                "__same": strip(F.col("photo_hash")) == url_hash(_incoming()),
+                "__second": strip(F.col("source")).isin(*cfg.excluded_sources),
+                "__deleted": truthy(F.col("soft_deleted_at")),
+            }
+        )
+    )
+
+
+def decision_reason() -> Column:
+    """Why a row does or does not need photo work; the first rule that holds."""
+    col = F.col
+    current = col("__hosted") & col("stored")
     # The second account has source A only.
     second = (
-        F.when(~_real_incoming(), "second_account_no_photo")
-        .when(owner_a & same & current, "fresh")
+        F.when(~col("__real"), "second_account_no_photo")
+        .when(col("__owner_a") & col("__same") & current, "fresh")
         .otherwise(F.lit("second_account_source_a"))
     )
     # A real photo at source A wins over whatever is there.
     source_a = (
-        F.when(~owner_a, "upgrade_to_source_a")
-        .when(~same, "source_a_changed")
-        .when(current, "fresh")
+        F.when(~col("__owner_a"), "upgrade_to_source_a")
+        .when(col("__same") & current, "fresh")
         .otherwise(F.lit("source_a_changed"))
     )
     return (
         F.when(F.coalesce("hidden", F.lit(False)), "hidden")
-        .when(truthy(F.col("soft_deleted_at")), "soft_deleted")
-        .when(F.col("key").isNull(), "no_key")
-        .when(strip(F.col("source")).isin(*cfg.excluded_sources), second)
-        .when(_real_incoming(), source_a)
-        .when(is_trusted(photo, cfg.trusted_hosts), "external_working_photo")
-        .when(hosted & F.col("stored"), "fresh")
-        .when(hosted | (photo == ""), "no_photo_at_all")
+        .when(col("__deleted"), "soft_deleted")
+        .when(col("key").isNull(), "no_key")
+        .when(col("__second"), second)
+        .when(col("__real"), source_a)
+        .when(col("__trusted"), "external_working_photo")
+        .when(current, "fresh")
+        .when(col("__hosted") | col("__blank"), "no_photo_at_all")
         .otherwise(F.lit("unknown_external_url"))
     )
 
 
 def asset_decision(rows: DataFrame, assets: DataFrame, cfg: AssetConfig) -> DataFrame:
     """Rows with their key, stored flag, ``reason`` and whether work ``needs`` doing."""
-    judged = with_asset(rows, assets).withColumn("reason", decision_reason(cfg))
+    known = with_asset(rows, assets)
+    judged = _facts(known, cfg).select(*known.columns, decision_reason().alias("reason"))
     return judged.withColumn("needs", F.col("reason").isin(*ACQUIRE_REASONS))
 
 
@@ -183,7 +199,7 @@ def asset_cascade(
         .when(photo != "", "failed_kept_existing")
         .otherwise(F.lit("failed_no_photo"))
     )
-    rows = rows.withColumn("__status", status)
+    rows = settled(rows.withColumn("__status", status))
     won_a, won_b = F.col("__status") == "success_a", F.col("__status") == "success_b"
     tried_b = F.col("__status").isin("kept_existing", "failed_kept_existing", "failed_no_photo")
     alone = F.col("__status") == "second_account_source_a_failed"

@@ -16,7 +16,7 @@ from ..config import SyncConfig
 from ..functions import first_nonblank, parse_iso, stamp, truthy
 from ..functions.times import moment
 from ..schemas import DIRECTORY_COLUMNS, TEMPORARY_COLUMNS
-from .lookups import lookup_row
+from .lookups import lookup_row, settled
 from .match import in_second_region, page_url_assign, tiered_match, unmatched
 
 # Fates of a ledger row.
@@ -181,7 +181,7 @@ def merge_ledger(
     """
     if matches is None:
         matches = tiered_match(valid, directory, cfg)
-    incoming = page_url_assign(field_merge(attach_previous(valid, directory, matches), cfg), cfg)
+    incoming = settled(page_url_assign(field_merge(attach_previous(valid, directory, matches), cfg), cfg))
     carried = carry_unmatched(unmatched(directory, matches), cfg, now)
     return incoming.select(*LEDGER_COLUMNS).unionByName(carried)
 

@@ -35,6 +35,15 @@ def lookup_row(left: DataFrame, right: DataFrame, row: str, right_row: str, pos:
     return keyed.join(right, F.col("__row") == right[right_row], "left").drop("__row")
 
 
+def settled(df: DataFrame, pos: str = "pos") -> DataFrame:
+    """Give rows without a position their reading order.
+
+    The step depends on order, so later filters stay above it: they test the
+    columns computed so far instead of computing them a second time.
+    """
+    return df.withColumn(pos, F.coalesce(pos, F.monotonically_increasing_id()))
+
+
 def map_lookup(df: DataFrame, key: str, mapping: dict[str, str] | DataFrame, out: str) -> DataFrame:
     """Add ``out``: the mapped value of a key, or null."""
     if isinstance(mapping, DataFrame):

@@ -19,7 +19,7 @@ from ..functions import (
     strip_prefix,
     valid_url,
 )
-from .lookups import lookup, lookup_default, mark_members
+from .lookups import lookup, lookup_default, mark_members, settled
 
 PARSED_COLUMNS = [
     "email", "name", "phone", "title", "team", "team_logo", "regions", "office", "photo",
@@ -128,9 +128,9 @@ def classify_roster(raw: DataFrame, cfg: SyncConfig) -> DataFrame:
         F.when(col("second"), cfg.second_source).otherwise(F.lit(cfg.main_source)).alias("source"),
         "role",
         "active",
-        F.coalesce("pos", F.monotonically_increasing_id()).alias("pos"),
+        "pos",
     )
-    marked = mark_members(cleaned, "id", cfg.suppressed_ids, "__suppressed")
+    marked = mark_members(settled(cleaned), "id", cfg.suppressed_ids, "__suppressed")
     dropped = (
         F.when(col("email") == "", "blank_email")
         .when(col("__suppressed"), "suppressed")

@@ -55,6 +55,19 @@ def test_one_argument(spark, make, rows):
     assert got == {i: want for i, (_, want) in enumerate(rows)}
 
 
+def test_naive_times_are_utc_in_any_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        texts = ["2024-01-10", "2024-01-10T00:00", "2024-01-10 00:00:00", "2024-01-10T00:00:00.000000", "2024-01-10T00:00:00,5",
+                 "2024-01-10T00:00:00Z", "2024-01-10T01:00:00+0100"]
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, a string")
+        got = [r.s for r in df.select("i", F.unix_seconds(fn.parse_iso(C("a"))).alias("s")).orderBy("i").collect()]
+        assert got == [1704844800] * len(texts)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_display_name(spark):
     rows = [
         (("Mohan", "Zed", "Mo", "x"), "Mo Zed"),
