@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dirsync.session import scratch_path
 
-from . import bpe, hostrules, language, packing, planes, quality, simhash, urlfilter
+from . import bpe, hostrules, language, packing, planes, quality, repeats, simhash, urlfilter
 from .common import held_out, table
 
 BYTE_TOKENIZER, WORD_TOKENIZER = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -37,6 +37,12 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(pages, numbered.join(labels, "doc_id").select("url", "bad"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
+    n_spans = (F.size("spans") / 2).cast("bigint").alias("n_spans")
+    return found.select("doc_id", "n_bytes", "n_removed", n_spans, F.col("sha256").alias("kept_sha256"))
+
+
 def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written as planes and read back."""
     path = scratch_path(spark, "token-planes")
@@ -80,5 +86,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_url_filter, op3_token_planes, op4_host_rules, op5_packing, op6_language_id, op8_simhash, op9_bpe, op10_quality,
+    op1_url_filter, op2_suffix_dedup, op3_token_planes, op4_host_rules, op5_packing, op6_language_id, op8_simhash, op9_bpe, op10_quality,
 )}
