@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dirsync.session import scratch_path
 
-from . import bpe, hostrules, language, packing, planes, quality, repeats, simhash, urlfilter
+from . import bpe, hnsw, hostrules, language, packing, planes, quality, repeats, simhash, urlfilter
 from .common import held_out, table
 
 BYTE_TOKENIZER, WORD_TOKENIZER = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -69,6 +69,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "sure")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -86,5 +90,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_url_filter, op2_suffix_dedup, op3_token_planes, op4_host_rules, op5_packing, op6_language_id, op8_simhash, op9_bpe, op10_quality,
+    op1_url_filter, op2_suffix_dedup, op3_token_planes, op4_host_rules, op5_packing, op6_language_id, op7_embedding_dedup, op8_simhash, op9_bpe, op10_quality,
 )}
