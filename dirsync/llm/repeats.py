@@ -173,32 +173,47 @@ def _differences(sorted_: np.ndarray) -> np.ndarray:
     return np.diff(sorted_, prepend=u64(0))
 
 
+def _distinct(*columns: np.ndarray) -> list[np.ndarray]:
+    """The distinct rows, sorted by the columns in their order."""
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    if not len(order):
+        return columns
+    new = np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns])])
+    return [c[new] for c in columns]
+
+
 class Level:
-    """Suffixes sorted by (key, class, document); of a class only those of its first document."""
+    """One suffix for each class, that of the first document, sorted by the code of key and class."""
 
-    def __init__(self, *columns: np.ndarray):
-        order = np.lexsort(columns[::-1])
-        self.columns = [c[order] for c in columns]
+    def __init__(self, code: np.ndarray, key: np.ndarray, cls: np.ndarray, doc: np.ndarray):
+        self.code, self.key, self.cls, self.doc = code, key, cls, doc
 
     def __len__(self) -> int:
-        return len(self.columns[0])
+        return len(self.code)
 
-    def first_of_class(self) -> tuple[np.ndarray, np.ndarray]:
-        """(whether a suffix belongs to the first document of its class, number of the class)."""
-        key, cls, doc = self.columns
-        if not len(key):
-            return np.zeros(0, bool), np.zeros(0, np.int64)
-        new = np.concatenate([[True], (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])])
-        group = np.cumsum(new) - 1
-        return doc == doc[np.flatnonzero(new)][group], group
+    def take(self, mask: np.ndarray) -> Level:
+        return Level(self.code[mask], self.key[mask], self.cls[mask], self.doc[mask])
+
+    def merged(self, other: Level) -> Level:
+        code = np.concatenate([self.code, other.code])
+        order = np.argsort(code, kind="stable")  # two sorted runs
+        pairs = ((self.key, other.key), (self.cls, other.cls), (self.doc, other.doc))
+        return Level(code[order], *[np.concatenate(x)[order] for x in pairs])
+
+
+Covered = tuple[np.ndarray, np.ndarray]
 
-    def take(self, mask: np.ndarray) -> list[np.ndarray]:
-        return [c[mask] for c in self.columns]
 
-    def settle(self) -> tuple[Level, list[np.ndarray]]:
-        """What stays, and the suffixes that an earlier document covers."""
-        first, _ = self.first_of_class()
-        return Level(*self.take(first)), self.take(~first)
+def settle(key: np.ndarray, cls: np.ndarray, doc: np.ndarray) -> tuple[Level, Covered]:
+    """The level of a batch, and what its own earlier documents cover (class, document)."""
+    code = _pair(key, cls)
+    order = np.lexsort((doc, code))
+    whole = Level(code, key, cls, doc).take(order)
+    first = np.concatenate([[True], whole.code[1:] != whole.code[:-1]]) if len(whole) else np.zeros(0, bool)
+    lead = whole.doc[np.flatnonzero(first)][np.cumsum(first) - 1] if len(whole) else whole.doc
+    later = whole.doc != lead
+    return whole.take(first), (whole.cls[later], whole.doc[later])
 
 
 class Family:
@@ -207,41 +222,37 @@ class Family:
     def __init__(self) -> None:
         self.levels: list[Level] = []
 
-    def add(self, batch: Level) -> list[list[np.ndarray]]:
-        batch, covered = batch.settle()
+    def add(self, key: np.ndarray, cls: np.ndarray, doc: np.ndarray) -> list[Covered]:
+        batch, covered = settle(key, cls, doc)
         out = [covered]
-        for i, level in enumerate(self.levels):
-            # scan: only suffixes whose (key, class) is in both can change
-            both = np.isin(level.columns[1], batch.columns[1]), np.isin(batch.columns[1], level.columns[1])
-            if not both[1].any():
+        for level in self.levels:
+            if not len(level) or not len(batch):
                 continue
-            met = Level(*[np.concatenate([a[both[0]], b[both[1]]]) for a, b in zip(level.columns, batch.columns, strict=True)])
-            stay, covered = met.settle()
-            out.append(covered)
-            rest = level.take(~both[0])
-            self.levels[i] = Level(*[np.concatenate(x) for x in zip(rest, stay.columns, strict=True)])
-            batch = Level(*batch.take(~both[1]))
+            at = np.minimum(np.searchsorted(level.code, batch.code), len(level) - 1)
+            hit = level.code[at] == batch.code
+            at, old, new = at[hit], level.doc[at[hit]], batch.doc[hit]
+            differ = old != new
+            out.append((batch.cls[hit][differ], np.maximum(old, new)[differ]))
+            level.doc[at] = np.minimum(old, new)
+            batch = batch.take(~hit)
         self.levels.append(batch)
         while len(self.levels) > 1 and len(self.levels[-2]) < 2 * len(self.levels[-1]):
             a, b = self.levels.pop(), self.levels.pop()
-            self.levels.append(Level(*[np.concatenate(x) for x in zip(a.columns, b.columns, strict=True)]))
+            self.levels.append(b.merged(a))
         return out
 
-    def mixed(self) -> list[np.ndarray]:
-        """Suffixes whose key has classes that start in different documents."""
-        if not self.levels:
-            return [np.zeros(0, u64)] * 3
-        whole = self.levels[0]
-        for level in self.levels[1:]:
-            whole = Level(*[np.concatenate(x) for x in zip(whole.columns, level.columns, strict=True)])
-        key, _, doc = whole.columns
+    def mixed(self) -> Covered:
+        """(class, document) of the suffixes whose key has classes that start in different documents."""
+        key, cls, doc = (np.concatenate([np.zeros(0, u64), *x]) for x in zip(*[(v.key, v.cls, v.doc) for v in self.levels], strict=True)) if self.levels else (np.zeros(0, u64),) * 3
         if not len(key):
-            return whole.columns
+            return cls, doc
+        order = np.argsort(key, kind="stable")
+        key, cls, doc = key[order], cls[order], doc[order]
         new = np.concatenate([[True], key[1:] != key[:-1]])
         at = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
         differ = np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
-        return whole.take(differ[group])
+        open_ = differ[np.cumsum(new) - 1]
+        return cls[open_], doc[open_]
 
 
 def _order(doc_ids: np.ndarray) -> np.ndarray:
@@ -311,12 +322,11 @@ def make_arrays(docs: DataFrame, n: int) -> DataFrame:
                 columns = [np.concatenate(c) for c in zip(*found, strict=True)]
                 if not len(columns[0]):
                     continue
-                array = Level(*columns)
-                new = np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in array.columns])])
-                array, covered = Level(*array.take(new)).settle()
-                yield from _by_document(COVERED, n, covered[2], covered[1])
-                key, cls, d = array.columns
-                yield from _blobs(ARRAY, _arrays(key, cls, d, n))
+                array, (cls, d) = settle(*_distinct(*columns))
+                if len(cls):
+                    yield from _by_document(COVERED, n, d, cls)
+                order = np.argsort(array.key, kind="stable")
+                yield from _blobs(ARRAY, _arrays(array.key[order], array.cls[order], array.doc[order], n))
 
     return docs.mapInArrow(run, _BLOB_DDL)
 
@@ -334,11 +344,11 @@ def _arrays(key, cls, doc, n):
             yield s, len(head).to_bytes(8, "little") + head + _squeeze(_differences(key[own]), cls[own], number.astype(u64))
 
 
-def _read_array(blob: bytes) -> Level:
+def _read_array(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size = int.from_bytes(blob[:8], "little")
     names = np.cumsum(_unsqueeze(blob[8 : 8 + size])[0], dtype=u64)
     key, cls, number = _unsqueeze(blob[8 + size :])
-    return Level(np.cumsum(key, dtype=u64), cls, names[number.astype(np.int64)])
+    return np.cumsum(key, dtype=u64), cls, names[number.astype(np.int64)]
 
 
 def merge_arrays(arrays: DataFrame, n: int) -> DataFrame:
@@ -351,11 +361,11 @@ def merge_arrays(arrays: DataFrame, n: int) -> DataFrame:
                 if batch.column(1)[i].as_py() == COVERED:
                     yield batch.slice(i, 1)
                     continue
-                covered += family.add(_read_array(batch.column(2)[i].as_py()))
+                covered += family.add(*_read_array(batch.column(2)[i].as_py()))
             if covered := [c for c in covered if len(c[0])]:
-                _, cls, doc = (np.concatenate(c) for c in zip(*covered, strict=True))
+                cls, doc = (np.concatenate(c) for c in zip(*covered, strict=True))
                 yield from _by_document(COVERED, n, doc, cls)
-            _, cls, doc = family.mixed()
+            cls, doc = family.mixed()
             if len(cls):
                 yield from _by_document(MIXED, n, doc, cls)
 
@@ -535,9 +545,7 @@ def _looker(first: bool, n: int, with_text: bool):
             removed = [m if k else np.zeros(len(t), bool) for m, t, k in zip(removed, texts, known, strict=True)]
             least, hashed, doc = windows
             if len(least):
-                new = Level(least, hashed, doc)
-                least, hashed, doc = new.take(np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in new.columns])]))
-                for s, blob in _arrays(least, hashed, doc, n):
+                for s, blob in _arrays(*_distinct(least, hashed, doc), n):
                     yield answer(batch.slice(0, 0), [s], WINDOWS, [blob], [], [])
             for kind, mask in ((DONE, ~pending), (PENDING, pending)):
                 at = np.flatnonzero(mask)
@@ -575,9 +583,9 @@ def _settle_windows(windows: DataFrame, n: int) -> DataFrame:
         for _, rows in _by_shard(batches):
             family, covered = Family(), []
             for _, batch, i in rows:
-                covered += family.add(_read_array(batch.column(2)[i].as_py()))
+                covered += family.add(*_read_array(batch.column(2)[i].as_py()))
             if covered := [c for c in covered if len(c[0])]:
-                _, hashed, doc = (np.concatenate(c) for c in zip(*covered, strict=True))
+                hashed, doc = (np.concatenate(c) for c in zip(*covered, strict=True))
                 yield from _by_document(WINDOWS, n, doc, hashed)
 
     return windows.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(run, _BLOB_DDL)
