@@ -5,15 +5,16 @@ of ``MATCH`` bytes where ``GRAM`` bytes fit, those with the smallest hash.  Equa
 windows have equal anchors, so no match of MATCH bytes is lost, while about one
 byte in sixteen starts a suffix.  A suffix is known by the hash of its first GRAM
 bytes (``key``) and by that of all bytes that a window around the anchor can reach
-(``cls``).
+(``cls``, which also holds a few bits for each side of the anchor).
 
 A batch of documents makes a suffix array for every shard of keys: its suffixes,
 sorted.  The task that owns a shard takes the arrays one after another, scans each
 by merging with the levels that it has, and puts it into the family; levels of
 equal size are merged, so there are as many as the logarithm of the batches.  Two
 suffixes of one ``cls`` have all windows in common, which settles the later
-document.  Suffixes of one key and different classes have some; the windows of
-these few are told apart by their own hashes in a second exchange.
+document.  Suffixes of one key and side and of different classes may have some;
+the windows of these few are told apart by the bytes around the anchor in a second
+exchange.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dirsync.session import materialise
+from dirsync.session import scratch_path
 
 from .common import slices, text_bytes
 
@@ -40,7 +41,11 @@ RUN = MATCH - GRAM + 1
 BATCH_BYTES = 16_000_000
 #: Bytes that are hashed together, and the margin where a longer text is cut.
 PIECE, MARGIN = 1_000_000, 64
-_MASK = np.uint64((1 << 48) - 1)
+#: Of the bytes of a window beside an anchor, one side has at least so many.
+SIDE = (MATCH - GRAM) // 2
+#: Bytes that windows around an anchor reach.
+REACH = 2 * MATCH - GRAM
+_REST, _TWELVE = np.uint64((1 << 40) - 1), np.uint64((1 << 12) - 1)
 
 u64 = np.uint64
 _M1, _M2, _M3 = u64(0x9E3779B97F4A7C15), u64(0xBF58476D1CE4E5B9), u64(0x94D049BB133111EB)
@@ -102,16 +107,16 @@ class Suffixes:
         self.starts = self.ends - sizes
         n, none = len(self.data), np.zeros(0, u64)
         self.unit = self.at = self.left = self.right = np.zeros(0, np.int64)
-        self.key = self.cls = self.least = self.window = none
+        self.key = self.cls = none
         if n < MATCH:
             return
         hashes = Hashes(self.data, MATCH)
-        gram, self.window = hashes.of(GRAM), hashes.of(MATCH)
+        gram, window = hashes.of(GRAM), hashes.of(MATCH)
         end = np.repeat(self.ends, sizes)
         whole = end[: n - MATCH + 1] >= np.arange(MATCH, n + 1)
-        self.least = _sliding(gram, RUN, np.minimum)
+        least = _sliding(gram, RUN, np.minimum)
         far = np.zeros(len(gram) + RUN - 1, u64)
-        far[RUN - 1 : RUN - 1 + len(whole)] = np.where(whole, self.least, u64(0))
+        far[RUN - 1 : RUN - 1 + len(whole)] = np.where(whole, least, u64(0))
         at = np.flatnonzero(_sliding(far, RUN, np.maximum) == gram)
         unit = np.searchsorted(self.ends, at, side="right")
         fits = at + GRAM <= self.ends[unit]
@@ -122,7 +127,12 @@ class Suffixes:
         self.right = np.minimum(self.ends[self.unit] - self.at, MATCH)
         shape = _mix((self.left * 64 + self.right).astype(u64) * _M2 + u64(3))
         first, last = self.at - self.left, self.at + self.right - MATCH
-        self.cls = _mix(_mix(self.window[first] * _M1 + self.window[last]) + shape) & _MASK
+        whole = _mix(_mix(window[first] * _M1 + window[last]) + shape) & _REST
+        # a window in common means SIDE bytes in common on one side of the anchor: twelve bits of each side's hash
+        beside, none = hashes.of(SIDE), u64(0)
+        before = np.where(self.left >= SIDE, beside[np.maximum(self.at - SIDE, 0)], none) & _TWELVE
+        after = np.where(self.right >= GRAM + SIDE, beside[np.minimum(self.at + GRAM, len(beside) - 1)], none) & _TWELVE
+        self.cls = (before << u64(52)) | (after << u64(40)) | whole
 
 
 def pieces(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[tuple[int, int]], Suffixes]]:
@@ -242,16 +252,22 @@ class Family:
         return out
 
     def mixed(self) -> Covered:
-        """(class, document) of the suffixes whose key has classes that start in different documents."""
+        """(class, document) of the suffixes that may share a window with one of another document.
+
+        They have the key and one side in common, but not the class.
+        """
         key, cls, doc = (np.concatenate([np.zeros(0, u64), *x]) for x in zip(*[(v.key, v.cls, v.doc) for v in self.levels], strict=True)) if self.levels else (np.zeros(0, u64),) * 3
         if not len(key):
             return cls, doc
-        order = np.argsort(key, kind="stable")
-        key, cls, doc = key[order], cls[order], doc[order]
-        new = np.concatenate([[True], key[1:] != key[:-1]])
-        at = np.flatnonzero(new)
-        differ = np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
-        open_ = differ[np.cumsum(new) - 1]
+        open_ = np.zeros(len(key), bool)
+        for shift in (52, 40):
+            side = (cls >> u64(shift)) & _TWELVE
+            order = np.lexsort((side, key))
+            k, x, d = key[order], side[order], doc[order]
+            new = np.concatenate([[True], (k[1:] != k[:-1]) | (x[1:] != x[:-1])])
+            at = np.flatnonzero(new)
+            differ = np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at)
+            open_[order] |= differ[np.cumsum(new) - 1]
         return cls[open_], doc[open_]
 
 
@@ -277,7 +293,7 @@ def _rows(shards: np.ndarray, n_shards: int, columns: list[np.ndarray], sorted_b
 _BLOB = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
 _BLOB_DDL = "shard int, kind int, blob binary"
 #: Kinds of blobs.
-ARRAY, COVERED, MIXED, WINDOWS, TEXT, PENDING, DONE = range(7)
+ARRAY, COVERED, MIXED, SHARED, CONTEXT, TEXT, PENDING, DONE = range(8)
 
 
 def _blobs(kind: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
@@ -387,6 +403,22 @@ class Told:
         doc, value = _unsqueeze(blob)
         self.parts.setdefault(kind, []).append(_pair(np.cumsum(doc, dtype=u64), value))
 
+    def add_bits(self, blob: bytes) -> None:
+        doc, cls, bits = _unsqueeze(blob)
+        self.parts.setdefault(SHARED, []).append(np.stack([_pair(np.cumsum(doc, dtype=u64), cls), bits]))
+
+    def bits(self, doc: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        """The bits told for each (document, class), 0 where nothing is told."""
+        if SHARED not in self.sets:
+            both = np.concatenate([np.zeros((2, 0), u64), *self.parts.pop(SHARED, [])], axis=1)
+            self.sets[SHARED] = both[:, np.argsort(both[0], kind="stable")]
+        known, bits = self.sets[SHARED]
+        if not len(known):
+            return np.zeros(len(doc), u64)
+        pair = _pair(doc, cls)
+        at = np.minimum(np.searchsorted(known, pair), len(known) - 1)
+        return np.where(known[at] == pair, bits[at], u64(0))
+
     def has(self, kind: int, doc: np.ndarray, value: np.ndarray) -> np.ndarray:
         if kind not in self.sets:
             self.sets[kind] = np.unique(np.concatenate(self.parts.pop(kind, [np.zeros(0, u64)])))
@@ -411,11 +443,11 @@ def _cover(n: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 def _first_look(docs: np.ndarray, texts: list[bytes], told: Told):
-    """Per text the mask of removed bytes and whether windows are open; and the open windows (key, hash, document)."""
+    """Per text the mask of removed bytes and whether windows are open; and the contexts of suffixes with open windows."""
     removed = [np.zeros(len(t), bool) for t in texts]
     pending = np.zeros(len(texts), bool)
-    windows = []
-    for numbers, places, own, s in pieces(texts):
+    contexts = []
+    for numbers, places, _, s in pieces(texts):
         numbers = np.array(numbers)
         if len(s.at):
             doc = docs[numbers[s.unit]]
@@ -423,31 +455,66 @@ def _first_look(docs: np.ndarray, texts: list[bytes], told: Told):
             mixed = told.has(MIXED, doc, s.cls) & ~covered
             first, last = s.at - s.left, s.at + s.right
             gone = _cover(len(s.data), first[covered], last[covered])
-            settled = _cover(len(s.data), first[covered], last[covered] - MATCH + 1)
-            open_ = _cover(len(s.data), first[mixed], last[mixed] - MATCH + 1) & ~settled
-            at = np.flatnonzero(open_)
-            unit = np.searchsorted(s.ends, at, side="right")
-            pending[numbers[unit]] = True
-            windows.append((s.least[at], s.window[at], docs[numbers[unit]]))
+            # a class whose windows are all settled by its neighbours has nothing open
+            settled = np.concatenate([[0], np.cumsum(~_cover(len(s.data), first[covered], last[covered] - MATCH + 1))])
+            mixed &= settled[last - MATCH + 1] > settled[first]
+            pending[numbers[s.unit[mixed]]] = True
+            contexts.append((s.key[mixed], s.cls[mixed], doc[mixed], s.left[mixed].astype(u64), *_context(s, mixed)))
             for u in np.unique(s.unit[covered]).tolist():
                 mask = gone[s.starts[u] : s.ends[u]]
                 removed[numbers[u]][places[u] : places[u] + len(mask)] |= mask
-    none = np.zeros(0, u64)
-    return removed, pending, [np.concatenate(c) for c in zip(*windows, strict=True)] if windows else [none] * 3
+    return removed, pending, [np.concatenate(c) for c in zip(*contexts, strict=True)] if contexts else []
+
+
+def _context(s: Suffixes, chosen: np.ndarray) -> list[np.ndarray]:
+    """The bytes that windows around the chosen anchors reach, eight to a number, zeros behind, and how many they are."""
+    first, size = (s.at - s.left)[chosen], (s.left + s.right)[chosen]
+    place = first[:, None] + np.arange(REACH)
+    data = s.data[np.minimum(place, len(s.data) - 1)] if len(s.data) else np.zeros(place.shape, np.uint8)
+    data = np.where(np.arange(REACH) < size[:, None], data, 0).astype(np.uint8)
+    return [*np.ascontiguousarray(data).view("<u8").astype(u64).T, size.astype(u64)]
+
+
+def _shared_windows(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class, document, bits) of contexts whose windows start in an earlier document's context of the same key.
+
+    Bit j stands for the window that starts j bytes before the anchor.
+    """
+    key, cls, doc, left = columns[:4]
+    data = np.ascontiguousarray(np.stack(columns[4:-1], axis=1)).view(np.uint8)
+    size = columns[-1].astype(np.int64)
+    by = {1: _mix((data.astype(u64) + u64(1)) * _M1)}
+    for step in (1, 2, 4, 8, 16):
+        by[2 * step] = _mix(by[step][:, :-step] * _M1 + by[step][:, step:])
+    whole = _mix(by[32][:, : REACH - MATCH + 1] * _M1 + by[32][:, MATCH - 32 : MATCH - 32 + REACH - MATCH + 1])
+    bits = np.zeros(len(key), u64)
+    for j in range(RUN):
+        start = left.astype(np.int64) - j
+        own = np.flatnonzero((start >= 0) & (start + MATCH <= size))
+        hashed, k, d = whole[own, start[own]], key[own], doc[own]
+        order = np.lexsort((d, hashed, k))
+        k, hashed, d = k[order], hashed[order], d[order]
+        new = np.concatenate([[True], (k[1:] != k[:-1]) | (hashed[1:] != hashed[:-1])]) if len(own) else np.zeros(0, bool)
+        late = d != d[np.flatnonzero(new)][np.cumsum(new) - 1] if len(own) else new
+        bits[own[order[late]]] |= u64(1 << j)
+    hit = bits > 0
+    return cls[hit], doc[hit], bits[hit]
 
 
 def _second_look(docs: np.ndarray, texts: list[bytes], removed: list[np.ndarray], told: Told) -> None:
-    """Add the windows that are told to be covered."""
+    """Add the windows that are told to start in an earlier document."""
     for numbers, places, _, s in pieces(texts):
-        if not len(s.window):
+        if not len(s.at):
             continue
-        at = np.arange(len(s.window))
-        unit = np.searchsorted(s.ends, at, side="right")
-        hit = (at + MATCH <= s.ends[unit]) & told.has(WINDOWS, docs[np.array(numbers)[unit]], s.window)
-        gone = _cover(len(s.data), at[hit], at[hit] + MATCH)
-        for u in np.unique(unit[hit]).tolist():
-            mask = gone[s.starts[u] : s.ends[u]]
-            removed[numbers[u]][places[u] : places[u] + len(mask)] |= mask
+        bits = told.bits(docs[np.array(numbers)[s.unit]], s.cls)
+        for j in range(RUN):
+            hit = np.flatnonzero((bits >> u64(j)) & u64(1))
+            if not len(hit):
+                continue
+            gone = _cover(len(s.data), s.at[hit] - j, s.at[hit] - j + MATCH)
+            for u in np.unique(s.unit[hit]).tolist():
+                mask = gone[s.starts[u] : s.ends[u]]
+                removed[numbers[u]][places[u] : places[u] + len(mask)] |= mask
 
 
 _ANSWER = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.int64())), ("sha256", pa.string()), ("kept", pa.binary())]
@@ -474,8 +541,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = True, id_col="doc_id", tex
     name go along in ``row``.
 
     Shards are as many as the session's shuffle partitions.  Texts are moved once,
-    to the shard of their document; those with open windows are written and moved
-    again.  All that is kept for a shard at a time are its suffixes, or what is
+    to the shard of their document, compressed; those with open windows are written
+    and moved again.  All that is kept for a shard at a time are its suffixes, or what is
     told about its documents; texts stream by.
     """
     spark = docs.sparkSession
@@ -489,12 +556,14 @@ def remove_repeats(docs: DataFrame, with_text: bool = True, id_col="doc_id", tex
     arrays = make_arrays(rows.where("doc IS NOT NULL").select("doc", "text"), n)
     told = _widened(merge_arrays(arrays, n), rows)
     first_ddl = f"shard int, kind int, blob binary, doc bigint, text binary, {_ANSWER_DDL}, row {row_ddl}"
-    mixed = told.unionByName(_placed(rows.withColumn("blob", F.lit(None).cast("binary")), n))
+    mixed = told.unionByName(_placed(_pressed(rows).withColumn("blob", F.lit(None).cast("binary")), n))
     looked = mixed.repartition(n, "shard").sortWithinPartitions("shard", "kind").mapInArrow(_looker(True, n, with_text), first_ddl)
-    looked = materialise(looked, "repeats")
+    path = scratch_path(spark, "repeats")
+    looked.write.option("compression", "zstd").parquet(path)
+    looked = spark.read.schema(looked.schema).parquet(path)
 
-    windows = looked.where(F.col("kind") == WINDOWS).select("shard", "kind", "blob")
-    told = _widened(_settle_windows(windows, n), rows)
+    contexts = looked.where(F.col("kind") == CONTEXT).select("shard", "kind", "blob")
+    told = _widened(_settle_contexts(contexts, n), rows)
     open_ = _placed(looked.where(F.col("kind") == PENDING).select("doc", "text", "row", "blob"), n)
     again = told.unionByName(open_).repartition(n, "shard").sortWithinPartitions("shard", "kind")
     again = again.mapInArrow(_looker(False, n, with_text), first_ddl)
@@ -528,31 +597,34 @@ def _looker(first: bool, n: int, with_text: bool):
                 upto = at + int(np.argmax(np.append((shards[at:] != shard) | (kinds[at:] != kinds[at]), True)))
                 if kinds[at] != TEXT:
                     for i in range(at, upto):
-                        told.add(int(kinds[i]), batch.column(2)[i].as_py())
+                        blob = batch.column(2)[i].as_py()
+                        told.add_bits(blob) if kinds[i] == SHARED else told.add(int(kinds[i]), blob)
                 else:
-                    sizes = [len(batch.column(4)[i].as_buffer() or b"") for i in range(at, upto)]
+                    sizes = [zstandard.frame_content_size(batch.column(4)[i].as_py()) for i in range(at, upto)]
                     for part in slices(sizes, BATCH_BYTES):
                         yield from look(batch.slice(at + part.start, part.stop - part.start), told)
                 at = upto
 
     def look(batch: pa.RecordBatch, told: Told) -> Iterator[pa.RecordBatch]:
-        texts, ids = batch.column(4).to_pylist(), batch.column(3)
+        pressed, ids = batch.column(4).to_pylist(), batch.column(3)
+        open_ = zstandard.ZstdDecompressor().decompress
+        texts = [open_(z) for z in pressed]
         known = ids.is_valid().to_numpy(zero_copy_only=False)
         docs = _order(ids.fill_null(0).to_numpy())
         if first:
             read = [t if k else b"" for t, k in zip(texts, known, strict=True)]
-            removed, pending, windows = _first_look(docs, read, told)
+            removed, pending, contexts = _first_look(docs, read, told)
             removed = [m if k else np.zeros(len(t), bool) for m, t, k in zip(removed, texts, known, strict=True)]
-            least, hashed, doc = windows
-            if len(least):
-                for s, blob in _arrays(*_distinct(least, hashed, doc), n):
-                    yield answer(batch.slice(0, 0), [s], WINDOWS, [blob], [], [])
+            if contexts and len(contexts[0]):
+                columns = _distinct(*contexts)
+                for s, blob in _rows((_mix(columns[0]) % u64(n)).astype(np.int64), n, columns, sorted_by=0):
+                    yield answer(batch.slice(0, 0), [s], CONTEXT, [blob], [], [])
             for kind, mask in ((DONE, ~pending), (PENDING, pending)):
                 at = np.flatnonzero(mask)
                 if len(at):
                     own = batch.take(pa.array(at))
                     marks = [_squeeze(_runs(removed[i]).reshape(-1).astype(u64)) for i in at] if kind == PENDING else None
-                    yield answer(own, None, kind, marks, [texts[i] for i in at], [removed[i] for i in at])
+                    yield answer(own, None, kind, marks, [(pressed if kind == PENDING else texts)[i] for i in at], [removed[i] for i in at])
         else:
             removed = []
             for t, blob in zip(texts, batch.column(2).to_pylist(), strict=True):
@@ -576,16 +648,36 @@ def _looker(first: bool, n: int, with_text: bool):
     return run
 
 
-def _settle_windows(windows: DataFrame, n: int) -> DataFrame:
-    """Per shard of documents: the windows that an earlier document has too."""
+def _settle_contexts(contexts: DataFrame, n: int) -> DataFrame:
+    """Per shard of documents: of each class with open windows those that an earlier document has too.
+
+    A shard's contexts are held together: they are the few at the edges of what
+    documents share.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _by_shard(batches):
-            family, covered = Family(), []
+            parts = []
             for _, batch, i in rows:
-                covered += family.add(*_read_array(batch.column(2)[i].as_py()))
-            if covered := [c for c in covered if len(c[0])]:
-                hashed, doc = (np.concatenate(c) for c in zip(*covered, strict=True))
-                yield from _by_document(WINDOWS, n, doc, hashed)
+                columns = _unsqueeze(batch.column(2)[i].as_py())
+                parts.append([np.cumsum(columns[0], dtype=u64), *columns[1:]])
+            cls, doc, bits = _shared_windows([np.concatenate(c) for c in zip(*parts, strict=True)])
+            if len(cls):
+                order = np.lexsort((cls, doc))
+                own = [doc[order], cls[order], bits[order]]
+                yield from _blobs(SHARED, _rows(_doc_shard(own[0], n), n, own, sorted_by=0))
+
+    return contexts.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(run, _BLOB_DDL)
+
+
+def _pressed(rows: DataFrame) -> DataFrame:
+    """Texts compressed before they are moved."""
+    ddl = f"doc bigint, text binary, row {rows.schema['row'].dataType.simpleString()}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            text = pa.array([press(t) for t in batch.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), text, batch.column(2)], names=["doc", "text", "row"])
 
-    return windows.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(run, _BLOB_DDL)
+    return rows.mapInArrow(run, ddl)
