@@ -317,11 +317,11 @@ def with_clause(pool: dict[str, str], text: str) -> str:
 
 
 def spark_sql(text: str) -> str:
-    return re.sub(r"@SHA\{(.*?)\}", r"left(sha2(\1, 256), 12)", text)
+    return re.sub(r"@SHA\{(.*?)\}", r"sha2(\1, 256)", text)
 
 
 def duck_sql(text: str) -> str:
-    return re.sub(r"@SHA\{(.*?)\}", r"left(sha256(\1), 12)", text)
+    return re.sub(r"@SHA\{(.*?)\}", r"sha256(\1)", text)
 
 
 def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -98,7 +98,7 @@ DIR_TEXT = (
     "email, name, phone, title, team, team_logo, array_to_string(regions, '|') AS regions, office, photo, page_url, id, "
     "second_id, source, photo_source, photo_hash, hidden, soft_deleted_at, extras"
 )
-ASSET_KEY = "coalesce(nullif(trim(id), ''), 'email-' || left(sha256(nullif(trim(lower(email)), '')), 12))"
+ASSET_KEY = "coalesce(nullif(trim(id), ''), 'email-' || sha256(nullif(trim(lower(email)), '')))"
 
 
 def junk_cases() -> str:
@@ -180,8 +180,8 @@ SELECT first_value(name) OVER (PARTITION BY email ORDER BY pos) AS name, email,
 FROM (SELECT *, {key_of('name')} AS nk FROM o_valid)
 """,
     "o_dup_flags": """
-SELECT d.name, d.email, 'Same name found with ' || d.n || ' different emails: ' || g.emails AS reason, d.pos
-FROM o_dups d JOIN (SELECT nk, string_agg(email, ', ' ORDER BY pos) AS emails FROM o_dups GROUP BY nk) g ON g.nk = d.nk
+SELECT d.name, d.email, 'Same name found with ' || d.n || ' different emails: all rows of name key ' || d.nk AS reason, d.pos
+FROM o_dups d
 WHERE d.n > 1 AND d.nk <> ''
 """,
     "o_flags": """
@@ -319,7 +319,7 @@ SELECT *, CASE
 FROM (SELECT r.*, {ASSET_KEY} AS key, {ASSET_KEY} IN (SELECT key FROM fx_assets) AS hit,
              coalesce({ASSET_KEY} IN (SELECT key FROM fx_assets), false) AS stored,
              coalesce(incoming_photo_real, false) AND trim(incoming_photo) <> '' AS is_real,
-             photo_hash = left(sha256(trim(incoming_photo)), 12) AS same
+             photo_hash = sha256(trim(incoming_photo)) AS same
       FROM fx_asset_rows r)
 """,
     "o_needs": "SELECT *, reason IN ('second_account_source_a', 'upgrade_to_source_a', 'source_a_changed', 'no_photo_at_all') AS needs FROM o_decided",
@@ -422,7 +422,7 @@ def fault(name: str) -> str:
     quoted = lambda c: f"CASE WHEN contains({c}, '''') THEN '\"' || {c} || '\"' ELSE '''' || {c} || '''' END"
     return f"""CASE WHEN coalesce(html, '') = '' THEN 'empty_html' WHEN card = '' THEN 'no_agent_card_div'
       WHEN t1 = '' AND t2 = '' THEN 'no_img_in_agent_card'
-      WHEN NOT {trusted('src')} THEN 'untrusted_host:' || left(src, 60)
+      WHEN NOT {trusted('src')} THEN 'untrusted_host:' || src
       WHEN alt <> '' AND lower(alt) <> lower({name}) AND NOT list_has_any({words('lower(alt)')}, {words(f'lower({name})')})
       THEN 'alt_name_mismatch:expected=' || {quoted(name)} || ',got=' || {quoted('alt')} END"""
 
@@ -499,7 +499,7 @@ SELECT report, {text(NOW_TEXT)} AS generated, false AS dry_run, description, n A
     "first_nonblank": f"SELECT pos, team0 AS team, office0 AS office, {first_of('phone', 'phone_number')} AS phone FROM o_placed",
     "split_list": f"SELECT pos, {joined(list_of('region'))} AS regions FROM fx_roster_a",
     "parse_iso": f"SELECT pos, soft_deleted_at, epoch_us({iso('soft_deleted_at')}) AS micros FROM fx_directory",
-    "url_hash": "SELECT pos, photo, CASE WHEN photo = '' THEN '' ELSE left(sha256(photo), 12) END AS hash FROM fx_directory",
+    "url_hash": "SELECT pos, photo, CASE WHEN photo = '' THEN '' ELSE sha256(photo) END AS hash FROM fx_directory",
     "entity_key": f"SELECT pos, {ASSET_KEY} AS key FROM fx_asset_rows",
     "valid_url": f"SELECT pos, CASE WHEN regexp_matches({PHOTO}, '^https?://') THEN {PHOTO} ELSE '' END AS photo FROM fx_roster_a",
     "strip_house_no": f"SELECT id, {STREET.replace('trim(address)', 'address')} AS street FROM fx_sales",
@@ -542,6 +542,7 @@ SELECT name, email, id, office, array_to_string(regions, '|') AS regions, team,
 SELECT name, email, 'POTENTIAL_DUPLICATE' AS flag, reason,
        'Verify these are different people or merge/deactivate in the source system.' AS action, pos FROM o_dup_flags
 """,
+    "dup_members": "SELECT pos, email, nk AS name_key, n FROM o_dups WHERE n > 1 AND nk <> ''",
     "flag_union": "SELECT * FROM o_flags",
     "safety_gate": f"""
 WITH c AS (SELECT (SELECT count(*) FROM o_valid) AS v, (SELECT count(*) FROM o_dir) AS p,
@@ -628,7 +629,7 @@ FROM (SELECT {slug_of('name')} AS slug FROM o_paged WHERE wants) p LEFT JOIN fx_
     "asset_cascade": "SELECT * FROM o_asset_events",
     "asset_apply": f"""
 SELECT r.pos, CASE WHEN e.key IS NOT NULL THEN {text(ASSET.public_base + '/')} || e.key || '.jpg' ELSE photo END AS photo,
-  coalesce(e.source, r.photo_source) AS photo_source, coalesce(left(sha256(e.source_url), 12), r.photo_hash) AS photo_hash
+  coalesce(e.source, r.photo_source) AS photo_source, coalesce(sha256(e.source_url), r.photo_hash) AS photo_hash
 FROM fx_asset_rows r LEFT JOIN (SELECT * FROM o_asset_events WHERE status = 'success') e ON e.pos = r.pos
 """,
     "retry_update": f"""

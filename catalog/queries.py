@@ -387,6 +387,11 @@ def missing_data(spark, d):
     return flat(RU.missing_data(valid(spark, d), SYNC))
 
 
+@query
+def dup_members(spark, d):
+    return RU.dup_members(valid(spark, d)).select("pos", "email", "name_key", "n")
+
+
 @query
 def dup_names(spark, d):
     return RU.dup_names(valid(spark, d), SYNC)

@@ -62,9 +62,6 @@ class SyncConfig:
     # Publishing.
     min_rows: int = 50
     min_share: float = 0.50
-    # Largest duplicate group whose e-mails are spelled out in every flag of the
-    # group.  Larger groups refer to the member table, which is always whole.
-    inline_group_limit: int = 1000
 
 
 @dataclass(frozen=True)

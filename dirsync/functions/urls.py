@@ -13,20 +13,16 @@ from pyspark.sql import types as T
 from .text import null_if_blank, strip
 
 
-def _short_hash(c: Column) -> Column:
-    return F.left(F.sha2(c, 256), F.lit(12))
-
-
 def url_hash(u: Column) -> Column:
-    """Twelve hex digits that change when the URL changes; blank stays blank."""
+    """The SHA-256 of the URL; blank stays blank."""
     u = F.coalesce(u, F.lit(""))
-    return F.when(u == "", F.lit("")).otherwise(_short_hash(u))
+    return F.when(u == "", F.lit("")).otherwise(F.sha2(u, 256))
 
 
 def entity_key(id_: Column, email: Column) -> Column:
     """Trimmed id, else a key made from the e-mail, else null."""
     mail = null_if_blank(F.lower(email))
-    return F.coalesce(null_if_blank(id_), F.concat(F.lit("email-"), _short_hash(mail)))
+    return F.coalesce(null_if_blank(id_), F.concat(F.lit("email-"), F.sha2(mail, 256)))
 
 
 def valid_url(u: Column) -> Column:

@@ -72,7 +72,7 @@ def photo_fault(name: Column, cfg: AssetConfig) -> Column:
         "fault",
         F.when(
             ~is_trusted(F.col("src"), cfg.trusted_hosts),
-            F.concat(F.lit("untrusted_host:"), F.left("src", F.lit(60))),
+            F.concat(F.lit("untrusted_host:"), F.col("src")),
         ),
         F.when((low != "") & (low != want) & ~shares, mismatch),
     )

@@ -24,7 +24,7 @@ NAME_REASON = "name matches junk pattern: "
 STAFF_REASON = "staff/internal account: "
 NUMBERED_REASON = "numbered prefix account with no brokerage email"
 NUMBERED = r"^0[0-9][0-9] - "
-DUPLICATE_REASON = "Same name found with %d different emails: %s"
+DUPLICATE_REASON = "Same name found with %d different emails: all rows of name key %s"
 
 
 def junk_reason(email: Column, name: Column, cfg: SyncConfig) -> Column:
@@ -158,34 +158,20 @@ def dup_members(valid: DataFrame) -> DataFrame:
 def dup_names(valid: DataFrame, cfg: SyncConfig) -> DataFrame:
     """One flag for every row that shares its name key with another row.
 
-    The reason spells out all e-mails of the group, in order.  That text grows
-    with the square of the group over all its rows, so a group above
-    ``inline_group_limit`` names its key instead; ``dup_members`` has its rows.
-    A flag shows the name of the first row with that e-mail.
+    The reason has the size of the group and its key, whatever the size; the
+    group's e-mails are the rows of ``dup_members`` with that key.  A flag shows
+    the name of the first row with that e-mail.
     """
     members = dup_members(valid)
-    listed = (
-        members.where(F.col("n") <= cfg.inline_group_limit)
-        .groupBy("name_key")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "email"))).alias("__rows"))
-        .select(F.col("name_key").alias("__listed"), F.array_join(F.col("__rows.email"), ", ").alias("__emails"))
-    )
-    shown = F.coalesce("__emails", F.concat(F.lit("all rows of name key "), F.col("name_key")))
-    firsts = valid.groupBy("email").agg(F.min("pos").alias("__first")).join(
-        members.select("email").distinct(), "email", "left_semi"
-    )
-    names = valid.select(F.col("pos").alias("__first"), F.col("name").alias("__name")).join(firsts, "__first")
-    return (
-        lookup(members, listed, F.col("name_key"), "__listed")
-        .join(names.select("email", "__name"), "email")
-        .select(
-            F.col("__name").alias("name"),
-            "email",
-            F.lit(FLAG_DUPLICATE).alias("flag"),
-            F.format_string(DUPLICATE_REASON, "n", shown).alias("reason"),
-            F.lit(ACTIONS[FLAG_DUPLICATE]).alias("action"),
-            "pos",
-        )
+    named = valid.join(members.select("email").distinct(), "email", "left_semi")
+    names = named.groupBy("email").agg(F.min_by("name", "pos").alias("__name"))
+    return members.join(names, "email").select(
+        F.col("__name").alias("name"),
+        "email",
+        F.lit(FLAG_DUPLICATE).alias("flag"),
+        F.format_string(DUPLICATE_REASON, "n", "name_key").alias("reason"),
+        F.lit(ACTIONS[FLAG_DUPLICATE]).alias("action"),
+        "pos",
     )
 
 

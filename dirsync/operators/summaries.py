@@ -9,12 +9,6 @@ from ..config import FLAG_DUPLICATE, FLAG_JUNK, FLAG_MISSING, FLAG_NO_REGION
 from ..functions import truthy
 from .lifecycle import NEW, PURGE, REACTIVATED, SOFT_DELETE
 
-SUMMARY_COLUMNS = [
-    "total_considered", "live_on_site", "hidden_on_site", "excluded_no_region", "excluded_junk",
-    "missing_data", "potential_duplicates", "included_in_site", "missing_region",
-    "new_rows", "soft_deletes", "purges", "reactivated",
-]
-
 
 def sync_summary(ledger: DataFrame, flags: DataFrame) -> DataFrame:
     """Thirteen counts of one run.

@@ -188,17 +188,18 @@ def test_gate(spark):
     assert RU.safety_gate(incoming(spark, []), directory(spark, old), CFG).first().refused == "no valid rows after filtering"
 
 
-def test_large_duplicate_group_is_whole_without_its_list(spark):
-    new = [dict(email=f"{i}@x", name="Same Name") for i in range(6)] + [dict(email=f"p{i}@x", name="A Pair") for i in range(2)]
+def test_duplicate_groups_have_one_form_at_every_size(spark):
+    new = [dict(email=f"{i}@x", name="Same Name") for i in range(3000)] + [dict(email=f"p{i}@x", name="A Pair") for i in range(2)]
     new += [dict(email="1@x", name="123"), dict(email="2@x", name="456")]
-    cfg = SyncConfig(inline_group_limit=5)
-    flags = RU.dup_names(incoming(spark, new), cfg).collect()
-    assert len(flags) == 8
+    flags = RU.dup_names(incoming(spark, new), CFG)
+    assert "collect_list" not in flags._jdf.queryExecution().optimizedPlan().toString()
+    flags = flags.collect()
+    assert len(flags) == 3002
     assert {r.reason for r in flags} == {
-        "Same name found with 6 different emails: all rows of name key samename",
-        "Same name found with 2 different emails: p0@x, p1@x",
+        "Same name found with 3000 different emails: all rows of name key samename",
+        "Same name found with 2 different emails: all rows of name key apair",
     }
-    assert RU.dup_members(incoming(spark, new)).where(F.col("n") == 6).count() == 6
+    assert RU.dup_members(incoming(spark, new)).where(F.col("n") == 3000).count() == 3000
 
 
 def test_junk_rules_in_order(spark):
