@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dirsync.operators.lookups import lookup
 from dirsync.session import materialise
 
 from .common import text_bytes
@@ -83,9 +84,9 @@ def judge_documents(docs: DataFrame, id_col="doc_id", text_col="text", host_col=
     table gives no rows.  Other columns are not read.  The counts are written once
     to the shared folder, as both the host rates and the result need them; hosts
     are summed before the shuffle, and the verdicts that are joined back are one
-    row per host that is rejected.
+    row per host that is rejected, by a join whose hot host Spark can split.
     """
     counted = materialise(document_counts(docs, id_col, text_col, host_col), "host-rules")
     bad = host_verdicts(counted).where("rejected").select("host", F.lit(True).alias("host_rejected"))
-    judged = counted.join(bad, "host", "left").withColumn("host_rejected", F.coalesce("host_rejected", F.lit(False)))
+    judged = lookup(counted, bad, F.col("host"), "host", pos="doc_id").withColumn("host_rejected", F.coalesce("host_rejected", F.lit(False)))
     return judged.withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected"))
