@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,15 @@ def slices(sizes: Iterable[int], most: int) -> Iterator[slice]:
         yield slice(start, i + 1)
 
 
+def small_batches(batches: Iterable[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that a binary column has about ``most`` bytes in each; what Arrow holds unused is given back between them."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(column)).to_pylist()
+        for part in slices(sizes, most):
+            yield batch.slice(part.start, part.stop - part.start)
+        pa.default_memory_pool().release_unused()
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers starts[i] .. starts[i] + lengths[i] - 1 for every i, in one array."""
     total = int(lengths.sum())

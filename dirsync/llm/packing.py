@@ -18,8 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes
-from .encoding import library_encoder
+from .common import small_batches, text_bytes
+from .encoding import TEXT_AT_ONCE, library_encoder
 
 WINDOW = 2048
 #: Longest piece of a document's last, partial window.
@@ -110,7 +110,7 @@ def pack(
             number += len(used)
             return rows
 
-        for batch in batches:
+        for batch in small_batches(batches, 1, TEXT_AT_ONCE):
             names = batch.column(0).to_pylist()
             ids, sizes = encoder.encode(batch.column(1).cast(pa.string()).to_pylist())
             at, out = 0, []
