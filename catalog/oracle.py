@@ -772,8 +772,7 @@ SELECT url, name, CASE WHEN bad IS NULL THEN src END AS photo_url, bad AS reason
 """,
     "scrape_apply": "SELECT * FROM o_scraped",
     "stream_event_counts": f"""
-SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, kind, {N} AS n FROM fx_lifecycle
-WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM fx_lifecycle) - INTERVAL 2 DAY GROUP BY 1, 2
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, kind, {N} AS n FROM fx_lifecycle GROUP BY 1, 2
 """,
 }
 POOL["o_full"] = """

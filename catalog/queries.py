@@ -32,7 +32,7 @@ from dirsync.schemas import GEOCODE_CACHE, TEMPORARY_COLUMNS
 from dirsync.session import scratch_path
 from dirsync.sources import load_directory, load_rosters, load_sales, load_state
 from dirsync.sources import write_directory, write_reports, write_sales
-from dirsync.streaming.events import stream_event_counts
+from dirsync.streaming.events import event_counts, stream_event_counts, write_event_counts
 from dirsync.streaming.snapshots import announce_snapshot, latest_directory, stream_snapshots
 
 from . import fixtures as fx
@@ -906,22 +906,12 @@ QUERIES["stream_snapshots"] = QUERIES.pop("stream_snapshots_")
 
 @query
 def stream_event_counts_(spark, d):
-    """Days the watermark has passed by the end of the log."""
+    """Every day of the log, from a stream that hands on the counts that changed."""
     root = scratch_path(spark, "events")
     fx.load(spark, d, "fx_lifecycle").select("kind", F.col("ts").cast("timestamp").alias("ts")).write.parquet(f"{root}/in")
     source = spark.readStream.schema("kind string, ts timestamp").parquet(f"{root}/in")
-    started = (
-        stream_event_counts(source)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .option("path", f"{root}/out")
-        .trigger(availableNow=True)
-        .start()
-    )
-    started.awaitTermination()
-    counts = spark.read.schema("day date, kind string, n bigint").parquet(f"{root}/out")
-    return flat(counts)
+    write_event_counts(stream_event_counts(source), f"{root}/out", f"{root}/checkpoint")
+    return flat(event_counts(spark, f"{root}/out"))
 
 
 QUERIES["stream_event_counts"] = QUERIES.pop("stream_event_counts_")

@@ -147,23 +147,22 @@ def retry_cooldown(rows: DataFrame, retries: DataFrame, run: int) -> DataFrame:
 def _known_of_keys(attempts_a: DataFrame, attempts_b: DataFrame, retries: DataFrame) -> DataFrame:
     """What three tables say of a key, as one row per key.
 
-    Each has one row per key, so ``max`` only picks the value that is there.
-    The queue is then joined, and its rows shuffled, once instead of three times.
+    Of a key that a table of attempts has more than once, one row is taken whole,
+    one that succeeded before others.  The queue is then joined, and its rows
+    shuffled, once instead of three times.
     """
 
     def attempt(table: DataFrame, side: str) -> DataFrame:
-        return table.select(
-            F.col("key").alias("__k"),
-            F.col("ok").alias(f"{side}_ok"),
-            F.col("reason").alias(f"{side}_reason"),
-            F.col("source_url").alias(f"{side}_url"),
-        )
+        said = F.struct(F.coalesce("ok", F.lit(False)).alias("ok"), F.col("reason"), F.col("source_url").alias("url"))
+        return table.select(F.col("key").alias("__k"), said.alias(side))
 
     last = retries.select(F.col("key").alias("__k"), F.col("last_run").alias("__last"))
     rows = attempt(attempts_a, "a")
     for other in (attempt(attempts_b, "b"), last):
         rows = rows.unionByName(other, allowMissingColumns=True)
-    return rows.groupBy("__k").agg(*[F.max(c).alias(c) for c in rows.columns if c != "__k"])
+    known = rows.groupBy("__k").agg(*[F.max(c).alias(c) for c in rows.columns if c != "__k"])
+    fields = [F.col(f"{side}.{f}").alias(f"{side}_{f}") for side in ("a", "b") for f in ("ok", "reason", "url")]
+    return known.select("__k", "__last", *fields)
 
 
 def asset_cascade(

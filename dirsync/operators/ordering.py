@@ -58,10 +58,11 @@ def retain_n(snapshots: DataFrame, n: int, series: str = "series", ts: str = "ts
 def first_of_day(runs: DataFrame, ts: str = "ts", tie: str = "run_id") -> DataFrame:
     """Flag the first run of every UTC day."""
     dated = runs.withColumn("day", F.to_date(ts))
-    first = dated.groupBy("day").agg(F.min(F.struct(ts, tie)).alias("__first"))
+    name = F.col("day").cast("string")
+    first = dated.groupBy(name.alias("__day")).agg(F.min(F.struct(ts, tie)).alias("__first"))
     return (
-        dated.join(first, "day")
-        .withColumn("first_of_day", F.struct(ts, tie) == F.col("__first"))
+        lookup(dated, first, name, "__day", pos=tie)
+        .withColumn("first_of_day", F.coalesce(F.struct(ts, tie) == F.col("__first"), F.lit(False)))
         .drop("__first")
     )
 
@@ -79,9 +80,10 @@ def with_previous(runs: DataFrame, value: str, out: str, ts: str = "ts", tie: st
     )
     lasts = cut.groupBy("__bucket").agg(F.max_by(value, F.struct(ts, tie)).alias("__last"))
     across = Window.partitionBy(F.lit(0)).orderBy("__bucket")
-    before = lasts.select("__bucket", F.lag("__last").over(across).alias("__before"))
+    name = F.col("__bucket").cast("string")
+    before = lasts.select(name.alias("__of"), F.lag("__last").over(across).alias("__before"))
     return (
-        lagged.join(before, "__bucket")
+        lookup(lagged, before, name, "__of", pos=tie)
         .withColumn(out, F.when(F.col("__head"), F.col("__before")).otherwise(F.col("__lag")))
         .drop("__bucket", "__lag", "__head", "__before")
     )

@@ -1,13 +1,14 @@
 """One sync run: rosters and the previous directory to the next directory.
 
-Two tables are written to the shared folder on the way, because several steps
-read them: the cleaned roster, and the ledger.  Everything else is computed from
-those two with column-pruned scans.
+What several steps read is written to the shared folder on the way: the previous
+directory, the cleaned and judged roster, the matches and the ledger, and for
+reports the flags.  Everything else is computed from those with column-pruned
+scans, and each source is read once.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -54,9 +55,10 @@ def plan_sync(raw: DataFrame, previous: DataFrame, cfg: SyncConfig, now: datetim
     Raises ``PublishRefused`` when too few rows came in.
     """
     rows = roster.merge_accounts(raw, cfg) if cfg.second_enabled else raw.where(F.col("account") == cfg.main_account)
-    cleaned = materialise(roster.classify_roster(rows, cfg), "cleaned")
-    judged = rules.judge_rows(roster.parsed_rows(cleaned), cfg)
+    cleaned = materialise(rules.judge_rows(roster.classify_roster(rows, cfg), cfg), "judged")
+    judged = cleaned.where(F.col("dropped").isNull()).select(*roster.PARSED_COLUMNS, "flag", "reason", "kept")
     valid = rules.valid_rows(judged)
+    previous = materialise(previous, "previous")
     gate = rules.safety_gate(valid, previous, cfg)
     # One row: the driver must see it before anything is published.
     verdict = gate.first()
@@ -102,6 +104,7 @@ def run_sync(
     """
     run = plan_sync(raw, previous, cfg, now)
     if not dry_run:
+        run = replace(run, flags=materialise(run.flags, "flags"))
         write_directory(run.directory, f"{out}/directory.{fmt}", fmt)
         write_reports(sync_reports(run, cfg), f"{out}/reports", now)
     return run

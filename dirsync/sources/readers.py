@@ -46,12 +46,22 @@ def _flag(c: Column) -> Column:
 
 
 def _with_pos(df: DataFrame) -> DataFrame:
-    """Add ``pos``, the place in reading order, where the source has none."""
-    if "pos" in df.columns:
-        return df.withColumn("pos", F.col("pos").cast("bigint"))
+    """``pos`` as the source gives it if it gives one to every row, else the reading order of all rows.
+
+    Rows are told apart by it, so the two are never mixed.
+    """
+    if "pos" in df.columns and df.where("pos is null").isEmpty():
+        return df
     return df.withColumn("pos", F.monotonically_increasing_id())
 
 
+def _told_apart(df: DataFrame) -> DataFrame:
+    """The rows, if no two have one position; the check reads positions only."""
+    if not df.groupBy("pos").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        raise ValueError("rows of the source share a position: make pos unique, or leave it out")
+    return df
+
+
 def _read_roster(spark: SparkSession, path: str, fmt: str | None) -> DataFrame:
     fmt = fmt or format_of(path)
     if fmt == "parquet":
@@ -62,16 +72,17 @@ def _read_roster(spark: SparkSession, path: str, fmt: str | None) -> DataFrame:
         raw = _json_records(spark, path, fmt)
         cols = {c: F.coalesce(*[F.col("rec")[s] for s in spell]) for c, spell in ROSTER_FIELDS.items()}
     if fmt != "parquet":
-        pos = F.coalesce(F.col("rec")["pos"].try_cast("bigint"), F.monotonically_increasing_id())
+        pos = F.col("rec")["pos"].try_cast("bigint")
     else:
-        pos = F.col("pos").cast("bigint") if "pos" in raw.columns else F.monotonically_increasing_id()
-    return raw.select(
+        pos = F.col("pos").try_cast("bigint") if "pos" in raw.columns else F.lit(None).cast("bigint")
+    rows = raw.select(
         *[
             (_flag(v.cast("string")) if c in ROSTER_FLAGS else v.cast("string")).alias(c)
             for c, v in cols.items()
         ],
         pos.alias("pos"),
     )
+    return _told_apart(_with_pos(rows))
 
 
 def load_rosters(
@@ -125,14 +136,14 @@ def load_directory(spark: SparkSession, path: str, fmt: str | None = None) -> Da
     """
     fmt = fmt or format_of(path)
     if fmt == "parquet":
-        rows = _with_pos(spark.read.parquet(path))
+        rows = spark.read.parquet(path)
         rows = rows.select(
             *[
                 (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                 for f in DIRECTORY.fields
             ]
         )
-        return drop_repeats(rows)
+        return drop_repeats(_with_pos(rows))
     rec = F.col("rec")
     known = [*DIRECTORY_FIELDS.values(), "pos"]
     cols = []
@@ -145,8 +156,7 @@ def load_directory(spark: SparkSession, path: str, fmt: str | None = None) -> Da
         cols.append(value.alias(col))
     extras = F.map_filter(rec, lambda k, _v: ~k.isin(*known)).alias("extras")
     raw = _json_records(spark, path, fmt)
-    order = F.coalesce(rec["pos"].try_cast("bigint"), F.monotonically_increasing_id())
-    return drop_repeats(raw.select(*cols, extras, order.alias("pos")))
+    return drop_repeats(_with_pos(raw.select(*cols, extras, rec["pos"].try_cast("bigint").alias("pos"))))
 
 
 def load_sales(

@@ -92,3 +92,21 @@ def test_reports_have_an_envelope(spark, tmp_path):
     dry = write_reports(reports, str(tmp_path / "dry"), now, dry_run=True)
     assert dry.where("dry_run").count() == 2 and not (tmp_path / "dry").exists()
     assert DIRECTORY.fieldNames()[-1] == "pos"
+
+
+def test_positions_are_the_files_or_the_order(spark, tmp_path):
+    """Positions of a file count only if every row has one; repeated ones are an error."""
+
+    def lines(name, rows):
+        path = tmp_path / f"{name}.jsonl"
+        path.write_text("\n".join(rows))
+        return str(path)
+
+    rows = ['{"id": "1"}', '{"id": "2", "pos": 0}', '{"id": "3"}']
+    mixed = load_rosters(spark, {"main": lines("mixed", rows)}).orderBy("pos").collect()
+    assert [r.id for r in mixed] == ["1", "2", "3"] and len({r.pos for r in mixed}) == 3
+    assert len({r.pos for r in load_directory(spark, lines("directory", rows)).collect()}) == 3
+    given = load_rosters(spark, {"main": lines("given", ['{"id": "1", "pos": 7}', '{"id": "2", "pos": 4}'])})
+    assert [(r.id, r.pos) for r in given.orderBy("pos").collect()] == [("2", 4), ("1", 7)]
+    with pytest.raises(ValueError, match="share a position"):
+        load_rosters(spark, {"main": lines("twice", ['{"id": "1", "pos": 4}', '{"id": "2", "pos": 4}'])})

@@ -1,4 +1,5 @@
-from datetime import timedelta
+import json
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -6,7 +7,9 @@ from catalog import queries as Q
 from catalog.settings import NOW, SYNC
 from dirsync.plans import plan_sync
 from dirsync.sources import load_directory, load_rosters, write_directory
-from dirsync.streaming.snapshots import announce_snapshot, latest_directory, stream_snapshots
+from dirsync.functions import stamp
+from dirsync.streaming.events import event_counts, stream_event_counts, write_event_counts
+from dirsync.streaming.snapshots import ANNOUNCEMENT, announce_snapshot, latest_directory, stream_snapshots
 
 
 def bag(df):
@@ -35,10 +38,26 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
     stream_snapshots(spark, landing, state, checkpoint, SYNC, start)
     paths += [put(n, snaps[n]) for n in (2, 3)]
     stream_snapshots(spark, landing, state, checkpoint, SYNC, start)
-    for n in (0, 1, 3):
-        run = plan_sync(load_rosters(spark, paths[n]), load_directory(spark, batch), SYNC, NOW + timedelta(days=20 * n))
+    # One file with an old snapshot and two new ones, the later first.
+    several = [(n, json.dumps(paths[of]), stamp(NOW + timedelta(days=20 * n))) for n, of in ((5, 1), (4, 0), (1, 1))]
+    spark.createDataFrame(several, ANNOUNCEMENT).coalesce(1).write.json(f"{landing}/several")
+    stream_snapshots(spark, landing, state, checkpoint, SYNC, start)
+    for n, of in ((0, 0), (1, 1), (3, 3), (4, 0), (5, 1)):
+        run = plan_sync(load_rosters(spark, paths[of]), load_directory(spark, batch), SYNC, NOW + timedelta(days=20 * n))
         batch = str(tmp_path / f"batch{n}.parquet")
         write_directory(run.directory, batch)
     assert bag(latest_directory(spark, state)) == bag(spark.read.parquet(batch))
-    log = {r.snapshot: r.status for r in spark.read.json(state + "/log/*").collect()}
-    assert log == {0: "published", 1: "published", 2: "refused", 3: "published"}
+    log = sorted((r.snapshot, r.status) for r in spark.read.json(state + "/log/*").collect())
+    assert log == [(0, "published"), (1, "published"), (1, "refused"), (2, "refused"), (3, "published"), (4, "published"), (5, "published")]
+
+
+def test_event_counts_have_every_day(spark, tmp_path):
+    """Two runs of the stream: the last day comes out, and the second run adds to it."""
+    where, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    schema = "kind string, ts timestamp"
+    day = datetime(2024, 3, 1)
+    assert event_counts(spark, out).count() == 0
+    for hours in ([1, 2, 30], [40, 41]):
+        spark.createDataFrame([("a", day + timedelta(hours=h)) for h in hours], schema).coalesce(1).write.mode("append").parquet(where)
+        write_event_counts(stream_event_counts(spark.readStream.schema(schema).parquet(where)), out, checkpoint)
+    assert sorted((str(r.day), r.n) for r in event_counts(spark, out).collect()) == [("2024-03-01", 2), ("2024-03-02", 3)]
