@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +41,32 @@ def slices(sizes: Iterable[int], most: int) -> Iterator[slice]:
         yield slice(start, i + 1)
 
 
+def release_memory() -> None:
+    """Give unused memory back to the system; a worker outlives its task, and idle ones would hold it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same task, which gives its memory back at its end."""
+
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release_memory()
+
+    return task
+
+
 def small_batches(batches: Iterable[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that a binary column has about ``most`` bytes in each; what Arrow holds unused is given back between them."""
+    """Batches cut so that a binary column has about ``most`` bytes in each; unused memory is given back between them."""
     for batch in batches:
         sizes = pc.binary_length(batch.column(column)).to_pylist()
         for part in slices(sizes, most):
             yield batch.slice(part.start, part.stop - part.start)
-        pa.default_memory_pool().release_unused()
+        release_memory()
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

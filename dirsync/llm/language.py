@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_bytes
+from .common import release_memory, text_bytes
 
 #: Bounds of the sample: documents drawn per language, and bytes of its dictionary.
 SAMPLE_DOCUMENTS = 200
@@ -90,6 +90,7 @@ def classifier(dictionaries: dict[str, bytes]):
             lead = 100 * (sizes / sizes[best] - 1) / LEAD_PERCENT
             preds.append(langs[best])
             scores.append(float(1 / np.exp(-lead).sum()))
+        release_memory()
         columns = [pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array([s >= MIN_SCORE for s in scores], pa.bool_())]
         return pa.StructArray.from_arrays(columns, names)
 

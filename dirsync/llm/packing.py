@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_bytes
+from .common import released, small_batches, text_bytes
 from .encoding import TEXT_AT_ONCE, library_encoder
 
 WINDOW = 2048
@@ -137,4 +137,4 @@ def pack(
 
     rows = docs.select(F.col(id_col).cast("bigint"), text_bytes(F.col(text_col)))
     ddl = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, padding bigint"
-    return rows.mapInArrow(run, ddl)
+    return rows.mapInArrow(released(run), ddl)

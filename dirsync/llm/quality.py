@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from dirsync.session import materialise
 
-from .common import text_bytes
+from .common import release_memory, text_bytes
 from .stats import SYMBOL_CODES, byte_counts, codes, duplicate_lines, repeat_words
 
 #: Bound of the training sample; the rows that come first by the hash of their id.
@@ -55,6 +55,7 @@ def statistics(text: bytes) -> tuple[float, ...]:
 @F.arrow_udf(T.StructType([T.StructField(n, T.DoubleType()) for n in STATISTICS]))
 def _statistics(texts: pa.Array) -> pa.Array:
     rows = np.array([statistics(t) for t in texts.to_pylist()]).reshape(-1, len(STATISTICS))
+    release_memory()
     return pa.StructArray.from_arrays([pa.array(c) for c in rows.T], STATISTICS)
 
 

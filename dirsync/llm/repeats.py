@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from dirsync.session import scratch_path
 
-from .common import slices, text_bytes
+from .common import released, slices, text_bytes
 
 MATCH, GRAM = 50, 20
 RUN = MATCH - GRAM + 1
@@ -344,7 +344,7 @@ def make_arrays(docs: DataFrame, n: int) -> DataFrame:
                 order = np.argsort(array.key, kind="stable")
                 yield from _blobs(ARRAY, _arrays(array.key[order], array.cls[order], array.doc[order], n))
 
-    return docs.mapInArrow(run, _BLOB_DDL)
+    return docs.mapInArrow(released(run), _BLOB_DDL)
 
 
 def _arrays(key, cls, doc, n):
@@ -385,7 +385,7 @@ def merge_arrays(arrays: DataFrame, n: int) -> DataFrame:
             if len(cls):
                 yield from _by_document(MIXED, n, doc, cls)
 
-    return arrays.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(run, _BLOB_DDL)
+    return arrays.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(released(run), _BLOB_DDL)
 
 
 def _pair(doc: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -557,7 +557,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = True, id_col="doc_id", tex
     told = _widened(merge_arrays(arrays, n), rows)
     first_ddl = f"shard int, kind int, blob binary, doc bigint, text binary, {_ANSWER_DDL}, row {row_ddl}"
     mixed = told.unionByName(_placed(_pressed(rows).withColumn("blob", F.lit(None).cast("binary")), n))
-    looked = mixed.repartition(n, "shard").sortWithinPartitions("shard", "kind").mapInArrow(_looker(True, n, with_text), first_ddl)
+    looked = mixed.repartition(n, "shard").sortWithinPartitions("shard", "kind").mapInArrow(released(_looker(True, n, with_text)), first_ddl)
     path = scratch_path(spark, "repeats")
     looked.write.option("compression", "zstd").parquet(path)
     looked = spark.read.schema(looked.schema).parquet(path)
@@ -566,7 +566,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = True, id_col="doc_id", tex
     told = _widened(_settle_contexts(contexts, n), rows)
     open_ = _placed(looked.where(F.col("kind") == PENDING).select("doc", "text", "row", "blob"), n)
     again = told.unionByName(open_).repartition(n, "shard").sortWithinPartitions("shard", "kind")
-    again = again.mapInArrow(_looker(False, n, with_text), first_ddl)
+    again = again.mapInArrow(released(_looker(False, n, with_text)), first_ddl)
     done = looked.where(F.col("kind") == DONE).unionByName(again)
     return done.select(F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "spans", "sha256", "kept", "row")
 
@@ -667,7 +667,7 @@ def _settle_contexts(contexts: DataFrame, n: int) -> DataFrame:
                 own = [doc[order], cls[order], bits[order]]
                 yield from _blobs(SHARED, _rows(_doc_shard(own[0], n), n, own, sorted_by=0))
 
-    return contexts.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(run, _BLOB_DDL)
+    return contexts.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(released(run), _BLOB_DDL)
 
 
 def _pressed(rows: DataFrame) -> DataFrame:
@@ -680,4 +680,4 @@ def _pressed(rows: DataFrame) -> DataFrame:
             text = pa.array([press(t) for t in batch.column(1).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), text, batch.column(2)], names=["doc", "text", "row"])
 
-    return rows.mapInArrow(run, ddl)
+    return rows.mapInArrow(released(run), ddl)

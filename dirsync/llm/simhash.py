@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from dirsync.session import materialise
 
-from .common import text_bytes
+from .common import release_memory, released, text_bytes
 from .components import components
 
 WORDS = 4
@@ -58,6 +58,7 @@ def simhash(text: bytes) -> int:
 @F.arrow_udf(T.LongType())
 def _fingerprints(texts: pa.Array) -> pa.Array:
     found = np.fromiter((simhash(t) for t in texts.to_pylist()), np.uint64, len(texts))
+    release_memory()
     return pa.array(found.view(np.int64))
 
 
@@ -169,9 +170,9 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
                 a, b = (np.concatenate(x).view(np.int64) for x in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    at_anchors = prints.select("fp").mapInArrow(replicate, "anchor bigint, fp bigint")
+    at_anchors = prints.select("fp").mapInArrow(released(replicate), "anchor bigint, fp bigint")
     sorted_ = at_anchors.repartition("anchor").sortWithinPartitions("anchor")
-    return sorted_.mapInArrow(compare, "a bigint, b bigint").distinct()
+    return sorted_.mapInArrow(released(compare), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
