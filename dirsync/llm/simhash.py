@@ -37,18 +37,24 @@ CODE_BITS, RADIUS = 15, 1
 _BLOCK = 256
 
 
-def simhash(text: bytes) -> int:
-    """Fingerprint of the text's shingles of four words; fewer words are one shingle, none give 0."""
+def shingle_hashes(text: bytes, width: int = WORDS) -> np.ndarray:
+    """A hash of each shingle of ``width`` words, in their order; fewer words are one shingle, none give none."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
-    n = max(1, len(words) - WORDS + 1)
+    n = max(1, len(words) - width + 1)
     upto = np.cumsum([len(w) + 1 for w in words])
     starts = (upto - np.fromiter((len(w) + 1 for w in words), np.int64, len(words)))[:n]
     ends = upto[-n:] - 1
     digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), np.uint64, n)
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), np.uint64, n)
+
+
+def simhash(text: bytes) -> int:
+    """Fingerprint of the text's shingles of four words; fewer words are one shingle, none give 0."""
+    h = shingle_hashes(text)
+    n = len(h)
     ones = np.zeros(64, np.int64)
     for part in np.array_split(h, n // 65536 + 1):
         ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
-from dirsync.llm import bpe, encoding, hnsw, hostrules, language, packing, planes, quality, queries, repeats, simhash, urlfilter
+from dirsync.llm import bpe, encoding, hnsw, hostrules, language, nearcopies, packing, planes, quality, queries, repeats, simhash, urlfilter
 from dirsync.llm.common import held_out
 from pyspark.sql import functions as F
 
@@ -213,6 +213,45 @@ def test_simhash_groups_equal_brute_force(spark, odd, empty, sf_dir):
     assert simhash.near_duplicates(empty).collect() == []
 
 
+def words_of(text):
+    return (text or "").encode().lower().split()
+
+
+def brute_near_copies(texts):
+    """Group number of each text, by all pairs."""
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in map(words_of, texts)]
+    groups = list(range(len(texts)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            close = len(x & sets[j]) >= 0.8 * len(x | sets[j]) if x or sets[j] else True
+            if close and groups[i] != groups[j]:
+                a, b = groups[i], groups[j]
+                groups = [b if g == a else g for g in groups]
+    return groups
+
+
+def test_near_copies_equal_brute_force(spark, odd, empty, sf_dir):
+    rnd = random.Random(6)
+    edited = []
+    for _ in range(40):  # copies on both sides of the bound, most of them more than 4 bits away
+        base = [f"w{rnd.randrange(5000)}" for _ in range(rnd.choice([5, 9, 40, 150, 400]))]
+        edited.append(base)
+        for _ in range(5):
+            copy = list(base)
+            for _ in range(rnd.randint(1, max(1, len(base) // 30))):
+                copy[rnd.randrange(len(copy))] = "changed"
+            edited.append(copy + [f"tail{k}" for k in range(rnd.randint(0, len(base) // 8))])
+    rows = [(20_000 + i, " ".join(w)) for i, w in enumerate(edited)]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    rows = sorted(docs.collect())
+    groups = brute_near_copies([r.text for r in rows])
+    first = {}
+    for r, g in zip(rows, groups, strict=True):
+        first.setdefault(g, r.doc_id)
+    assert sorted(r.doc_id for r in nearcopies.drop_copies(docs).collect()) == sorted(first.values())
+    assert nearcopies.drop_copies(empty).collect() == []
+
+
 def test_anchors_meet_all_close_prints():
     rng = np.random.default_rng(1)
     fp = rng.integers(0, 2**63, 300).astype(np.uint64)
