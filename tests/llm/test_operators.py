@@ -297,6 +297,19 @@ def test_language_held_out(spark, odd, empty):
     assert {r.lang_pred for r in language.identify(odd, {}).collect()} == {"und"}
 
 
+def test_long_clean_texts_are_sure(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    learned = language.train(docs, ~held_out(F.col("doc_id")))
+    rows = docs.where(held_out(F.col("doc_id")) & F.col("text").isNotNull()).select("doc_id", "lang", "text").orderBy("doc_id").collect()
+    texts = [(i, lang, "\n".join(r.text for r in rows if r.lang == lang)) for i, lang in enumerate(["en", "de", "fr"])]
+    texts += [(10 + i, lang, (t * 5)[:4_000_000]) for i, lang, t in texts]
+    judged = language.identify(spark.createDataFrame(texts, "doc_id bigint, lang string, text string"), learned)
+    lang = {i: x for i, x, _ in texts}
+    found = judged.collect()
+    assert max(len(t) for _, _, t in texts) > 1_000_000
+    assert all(r.sure and r.lang_pred == lang[r.doc_id] for r in found), (found, [len(t) for _, _, t in texts])
+
+
 def test_quality_held_out(spark, odd, empty):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
