@@ -252,6 +252,21 @@ def test_near_copies_equal_brute_force(spark, odd, empty, sf_dir):
     assert nearcopies.drop_copies(empty).collect() == []
 
 
+def test_one_row_of_each_group_stays(spark, odd):
+    """Null and shared ids: a group never goes as a whole, and never leaves two rows."""
+    good = [" ".join(f"{c}{k}" for k in range(60)) for c in "abcdef"]
+    rows = [(None, good[0], "x"), (None, good[1], "x"), (None, good[1] + " end", "y"), (7, good[1], "z"), (5, good[2], "x"), (5, good[3], "x")]
+    rows += [(5, good[3], "x"), (6, good[3] + " end", "x"), (3, good[4], None), (3, good[4], "x"), (None, good[5], None), (None, good[5], None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    kept = nearcopies.drop_copies(df).collect()
+    want = [("None", good[0]), ("7", good[1]), ("5", good[2]), ("5", good[3]), ("3", good[4]), ("None", good[5])]
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted(want)
+    rows = odd.collect()
+    left = nearcopies.drop_copies(odd).collect()
+    groups = dict(zip([r.text for r in rows], brute_near_copies([r.text for r in rows]), strict=True))
+    assert len(left) == len(set(groups.values())) == len({groups[r.text] for r in left})
+
+
 def test_anchors_meet_all_close_prints():
     rng = np.random.default_rng(1)
     fp = rng.integers(0, 2**63, 300).astype(np.uint64)
