@@ -36,19 +36,26 @@ UNDETERMINED = "und"
 def train(docs: DataFrame, use: Column | None = None, id_col="doc_id", text_col="text", label_col="lang") -> dict[str, bytes]:
     """Language to dictionary, from rows with a label and a text for which ``use`` holds.
 
-    Of each language the ``SAMPLE_DOCUMENTS`` rows that come first by the hash of
-    their id are drawn: only ids and labels are ranked, within each task before
-    any shuffle.  The driver gets at most SAMPLE_DOCUMENTS texts a language.
+    Of each language the ``SAMPLE_DOCUMENTS`` ids that come first by their hash are
+    drawn: only ids and labels are ranked, within each task before any shuffle.  Of
+    an id's texts in a language the one with the smallest hash is taken, so the
+    driver gets at most SAMPLE_DOCUMENTS texts a language.
     """
     rows = docs if use is None else docs.where(use)
     rows = rows.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(label_col).alias("l")).dropna()
     ordered = Window.partitionBy("l").orderBy(F.xxhash64("i"), "i")
-    drawn = rows.select("l", "i").withColumn("n", F.row_number().over(ordered)).where(F.col("n") <= SAMPLE_DOCUMENTS)
-    ids = [r["i"] for r in drawn.select("i").distinct().collect()]
-    taken = rows.where(F.col("i").isin(ids)).select("l", "i", text_bytes(F.col("t")).alias("t"))
+    drawn = rows.select("l", "i").distinct().withColumn("n", F.row_number().over(ordered)).where(F.col("n") <= SAMPLE_DOCUMENTS)
+    ids: dict[str, list] = {}
+    for r in drawn.select("l", "i").collect():
+        ids.setdefault(r["l"], []).append(r["i"])
+    chosen = F.lit(False)
+    for lang, own in ids.items():
+        chosen = chosen | ((F.col("l") == lang) & F.col("i").isin(own))
+    taken = rows.where(chosen).select("l", "i", text_bytes(F.col("t")).alias("t"))
     n = F.octet_length("t")
     at = F.when(n > SAMPLE_BYTES, F.pmod(F.xxhash64("i"), n - SAMPLE_BYTES) + 1).otherwise(1)
-    cut = taken.select("l", "i", F.substring("t", at.cast("int"), F.lit(SAMPLE_BYTES)).alias("t")).distinct()
+    cut = taken.select("l", "i", F.xxhash64("t").alias("h"), F.substring("t", at.cast("int"), F.lit(SAMPLE_BYTES)).alias("t"))
+    cut = cut.groupBy("l", "i").agg(F.min_by("t", F.struct("h", "t")).alias("t"))
     found: dict[str, list] = {}
     for r in sorted(cut.collect(), key=lambda r: (r["l"], str(r["i"]), bytes(r["t"]))):
         found.setdefault(r["l"], []).append(bytes(r["t"]))

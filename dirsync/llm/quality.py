@@ -112,14 +112,15 @@ def tree_rules(description: str) -> list[Rule]:
 def train(docs: DataFrame, labels: DataFrame, use: Column | None = None, id_col="doc_id", text_col="text", label_col="quality") -> RuleModel:
     """Learn from the labelled rows for which ``use`` (on ``doc_id`` of ``labels``) holds.
 
-    At most ``TRAINING_ROWS`` ids are drawn, by hash; their texts are read once,
-    and only their statistics go on.  Without two classes to tell apart the model
+    At most ``TRAINING_ROWS`` ids are drawn, by hash; of each the text with the
+    smallest hash is taken, and only its statistics go on.  Without two classes to tell apart the model
     is the share of label 1, or one half where no row is labelled.
     """
     drawn = (labels if use is None else labels.where(use)).select(F.col(id_col).alias("i"), F.col(label_col).cast("double").alias("label"))
     drawn = drawn.dropna().groupBy("i").agg(F.min("label").alias("label")).orderBy(F.xxhash64("i"), "i").limit(TRAINING_ROWS)
     texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-    rows = texts.join(F.broadcast(drawn), "i")  # at most TRAINING_ROWS rows
+    rows = texts.join(F.broadcast(drawn), "i")  # drawn has at most TRAINING_ROWS rows
+    rows = rows.groupBy("i", "label").agg(F.min_by("t", F.struct(F.xxhash64("t"), "t")).alias("t"))
     rows = materialise(rows.select("i", "label", text_statistics(F.col("t")).alias("s")).select("i", "label", "s.*"), "quality-sample")
     n, ones = rows.agg(F.count("*"), F.sum("label")).first()
     if not n or ones in (0, n):

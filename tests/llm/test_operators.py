@@ -325,6 +325,26 @@ def test_long_clean_texts_are_sure(spark):
     assert all(r.sure and r.lang_pred == lang[r.doc_id] for r in found), (found, [len(t) for _, _, t in texts])
 
 
+def test_samples_are_bounded_by_rows(spark, monkeypatch):
+    """An id with very many different texts gives one of them, and its rows in other languages are not drawn along."""
+    rows = [(1, f"text number {i} of the hot id {'!' * (i % 7)}", "en" if i % 2 else "de") for i in range(900)]
+    rows += [(i, f"text of document {i} alone", "en" if i % 3 else "de") for i in range(2, 300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    taken, sampled, join, written = {}, [], language._join, quality.materialise
+    monkeypatch.setattr(language, "_join", lambda texts: taken.setdefault(len(taken), len(texts)) and join(texts))
+    language.train(docs)
+    assert taken == {0: 100, 1: 200}  # de: 99 documents and the hot id, en: 199 and the hot id, all within the bound
+
+    def materialise(df, name):
+        found = written(df, name)
+        sampled.append(found.count())
+        return found
+
+    monkeypatch.setattr(quality, "materialise", materialise)
+    quality.train(docs, spark.createDataFrame([(i, i % 2) for i in range(1, 200)], "doc_id bigint, quality int"))
+    assert sampled == [199]
+
+
 def test_quality_held_out(spark, odd, empty):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
