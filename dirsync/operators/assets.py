@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..config import AssetConfig
 from ..functions import entity_key, is_self_hosted, is_trusted, stamp, strip, truthy, url_hash
 from .lookups import lookup, settled
+from .ordering import first_rows
 
 ACQUIRE_REASONS = (
     "second_account_source_a", "upgrade_to_source_a", "source_a_changed", "no_photo_at_all",
@@ -99,12 +100,16 @@ def _forced(name: str | None) -> Column:
 
 
 def force_limit(decided: DataFrame, force: str | None = None, limit: int | None = None) -> DataFrame:
-    """Work queue: rows that need work or are forced by name, the first ``limit`` by position."""
+    """Work queue: rows that need work or are forced by name, the first ``limit`` by position.
+
+    The last position of the queue is found by counting, so no task holds the
+    queue, whatever the limit.
+    """
     forced = F.coalesce(_forced(force), F.lit(False))
     queue = decided.where((F.col("needs") | forced) & F.col("key").isNotNull()).withColumn(
         "reason", F.when(forced, "forced").otherwise(F.col("reason"))
     )
-    return queue.orderBy("pos").limit(limit) if limit else queue
+    return first_rows(queue, limit) if limit else queue
 
 
 def skipped(decided: DataFrame, force: str | None = None) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Each of these would be a window over the whole table, or over one group that may
 hold a third of it.  Here they are sorts with a unique tie-break, aggregates that
-combine before the shuffle, or windows over blocks of bounded width.
+combine before the shuffle, or runs of a range-partitioned order, which are cut by
+the number of rows, whatever the keys and however sparse the positions.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dirsync.session import materialise
+
 from .lookups import lookup
 
 # Why a run's copy is kept.
@@ -19,8 +22,68 @@ REASON_ROUTINE = "routine sync (every backup committed for safety)"
 REASON_LARGE = "significant change: %s (threshold: %s)"
 REASON_SMALL = "routine sync, %s change (under %s threshold)"
 
-# Positions per block when rows are numbered in order of ``pos``.
-BLOCK_WIDTH = 1_000_000
+#: Bins of one pass that looks for the n-th value.
+BINS = 4096
+
+
+def in_order(df: DataFrame, *order: Column | str) -> DataFrame:
+    """The rows, sorted over range partitions and written, with ``__part`` and ``__row``, the place in the part.
+
+    Parts follow one another in the order and have about the same number of rows;
+    the order should end in a column that tells rows apart, as equal ones share a
+    part.  The copy makes parts and places the same for every later step, also
+    where a lost executor's work is done again.
+    """
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = materialise(sorted_.withColumn("__id", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("__id", 33)
+    return placed.withColumn("__part", part).withColumn("__row", F.col("__id") - F.shiftleft(part, 33)).drop("__id")
+
+
+def _across_parts(*group: str):
+    """A window over one row for each part (and group)."""
+    return Window.partitionBy(*(group or [F.lit(0)])).orderBy("__part")
+
+
+def numbered(df: DataFrame, out: str, *order: Column | str) -> DataFrame:
+    """Number all rows 1, 2, … in the order, with a shift for each part of it."""
+    rows = in_order(df, *order)
+    before = _across_parts().rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    shifts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__shift"))
+    # one row for each shuffle partition
+    found = rows.join(F.broadcast(shifts), "__part").withColumn(out, F.col("__shift") + F.col("__row") + 1)
+    return found.drop("__part", "__row", "__shift")
+
+
+def nth_smallest(df: DataFrame, column: str, n: int) -> int | None:
+    """The n-th smallest value of a whole-number column without sorting; null if there are fewer.
+
+    Tasks count values in bins, the bin with the n-th value is cut again, until a
+    bin is one value.  A pass brings at most ``BINS`` counts to the driver.
+    """
+    values = df.select(F.col(column).cast("decimal(20,0)").alias("v")).where("v IS NOT NULL")
+    low, high, rows = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
+    if n < 1 or rows < n:
+        return None
+    low, high, left = int(low), int(high), n
+    while low < high:
+        width = -(-(high - low + 1) // BINS)
+        inside = values.where(F.col("v").between(low, high))
+        bins = inside.groupBy(F.floor((F.col("v") - low) / width).cast("int").alias("bin")).count().orderBy("bin").collect()
+        for b, count in bins:
+            if left <= count:
+                low, high = low + b * width, min(high, low + (b + 1) * width - 1)
+                break
+            left -= count
+    return low
+
+
+def first_rows(df: DataFrame, n: int, pos: str = "pos") -> DataFrame:
+    """The n rows with the smallest positions, which are unique; no task sees more of them than it read."""
+    rows = materialise(df, "queue")
+    last = nth_smallest(rows, pos, n)
+    return rows if last is None else rows.where(F.col(pos) <= last)
 
 
 def sort_name(df: DataFrame, photo_first: bool = False) -> DataFrame:
@@ -67,34 +130,31 @@ def first_of_day(runs: DataFrame, ts: str = "ts", tie: str = "run_id") -> DataFr
     )
 
 
-def with_previous(runs: DataFrame, value: str, out: str, ts: str = "ts", tie: str = "run_id", bucket: str = "day") -> DataFrame:
+def with_previous(runs: DataFrame, value: str, out: str, ts: str = "ts", tie: str = "run_id") -> DataFrame:
     """``lag`` over the whole history without one global window.
 
-    Inside a time bucket it is a plain ``lag``; the first row of a bucket takes
-    the last value of the bucket before, found among one row per bucket.
+    The history is cut into parts of about equal size, so a day that holds all
+    runs is cut as well.  Inside a part it is a plain ``lag``; the first row of a
+    part takes the last value of the part before, one carried row for each part.
     """
-    cut = runs.withColumn("__bucket", F.date_trunc(bucket, ts))
-    inside = Window.partitionBy("__bucket").orderBy(ts, tie)
-    lagged = cut.withColumn("__lag", F.lag(value).over(inside)).withColumn(
-        "__head", F.lag(F.lit(True)).over(inside).isNull()
-    )
-    lasts = cut.groupBy("__bucket").agg(F.max_by(value, F.struct(ts, tie)).alias("__last"))
-    across = Window.partitionBy(F.lit(0)).orderBy("__bucket")
-    name = F.col("__bucket").cast("string")
-    before = lasts.select(name.alias("__of"), F.lag("__last").over(across).alias("__before"))
+    rows = in_order(runs, ts, tie)
+    lagged = rows.withColumn("__lag", F.lag(value).over(Window.partitionBy("__part").orderBy("__row")))
+    lasts = rows.groupBy("__part").agg(F.max_by(value, "__row").alias("__last"))
+    before = lasts.select("__part", F.lag("__last").over(_across_parts()).alias("__before"))
+    # one row for each shuffle partition
     return (
-        lookup(lagged, before, name, "__of", pos=tie)
-        .withColumn(out, F.when(F.col("__head"), F.col("__before")).otherwise(F.col("__lag")))
-        .drop("__bucket", "__lag", "__head", "__before")
+        lagged.join(F.broadcast(before), "__part")
+        .withColumn(out, F.when(F.col("__row") == 0, F.col("__before")).otherwise(F.col("__lag")))
+        .drop("__part", "__row", "__lag", "__before")
     )
 
 
-def change_reason(runs: DataFrame, threshold: float | None = None, bucket: str = "day") -> DataFrame:
+def change_reason(runs: DataFrame, threshold: float | None = None) -> DataFrame:
     """Percent change of ``count`` against the run before, and why to keep a copy.
 
     With a ``threshold`` (0.05 is five percent) only larger changes count.
     """
-    flagged = with_previous(first_of_day(runs), "count", "previous", bucket=bucket)
+    flagged = with_previous(first_of_day(runs), "count", "previous")
     prev = F.coalesce("previous", F.lit(0))
     change = F.try_divide(F.abs(F.col("count") - prev).cast("double"), F.nullif(prev, F.lit(0)).cast("double"))
 
@@ -151,20 +211,19 @@ def distinct_reasons(flags: DataFrame) -> DataFrame:
     return flags.groupBy("reason").agg(F.min("pos").alias("pos"), F.min_by("name", "pos").alias("name"))
 
 
-def number_rows(df: DataFrame, group: str, pos: str, out: str, width: int = BLOCK_WIDTH) -> DataFrame:
+def number_rows(df: DataFrame, group: str, pos: str, out: str) -> DataFrame:
     """Number the rows of each group 1, 2, … in order of ``pos``.
 
-    Rows are numbered inside blocks of ``width`` positions, and each block is
-    shifted by the rows in the blocks before it, so no task sees a whole group.
+    The order of group and position is cut into parts of about equal size, however
+    sparse the positions; a group's rows in a part are shifted by its rows in the
+    parts before.  There is one shift for each part and for each group.
     """
-    cut = df.withColumn("__block", F.floor(F.col(pos) / width))
-    sizes = cut.groupBy(group, "__block").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select(group, "__block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__shift"))
-    inside = Window.partitionBy(group, "__block").orderBy(pos)
-    return (
-        cut.withColumn("__rn", F.row_number().over(inside))
-        .join(shifts, [group, "__block"])
-        .withColumn(out, F.col("__rn") + F.col("__shift"))
-        .drop("__block", "__rn", "__shift")
-    )
+    rows = in_order(df, group, pos)
+    key = F.coalesce(F.concat(F.lit("k"), F.col(group).cast("string")), F.lit("n"))
+    rows = rows.withColumn("__key", key)
+    sizes = rows.groupBy("__key", "__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first"))
+    before = _across_parts("__key").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + 1
+    shifts = sizes.select("__key", "__part", shift.alias("__shift"))
+    found = rows.join(shifts, ["__key", "__part"]).withColumn(out, F.col("__row") + F.col("__shift"))
+    return found.drop("__key", "__part", "__row", "__shift")

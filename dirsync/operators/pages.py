@@ -11,6 +11,7 @@ from ..config import AssetConfig
 from ..functions import age_seconds, html_text, is_trusted, stamp, strip, truthy
 from ..functions.text import WHITESPACE
 from .lookups import lookup
+from .ordering import first_rows
 
 # An image tag with its source before or after its alternative text.
 SRC_THEN_ALT = r'(?is)<img\b[^>]*?\bsrc="(https://[^"]+)"[^>]*?\balt="([^"]*)"'
@@ -109,7 +110,7 @@ def scrape_queue(rows: DataFrame, cfg: AssetConfig, force: str | None = None, li
     if force:
         want = want | F.coalesce(F.lower("name") == force.lower(), F.lit(False))
     queue = judged.where(want).drop("reason", "eligible")
-    return queue.orderBy("pos").limit(limit) if limit else queue
+    return first_rows(queue, limit) if limit else queue
 
 
 def scrape_cache_lookup(rows: DataFrame, cache: DataFrame, cfg: AssetConfig, now: datetime) -> DataFrame:

@@ -19,10 +19,9 @@ def runs_of(spark, seed, n=200):
     return rows, spark.createDataFrame(rows, "run_id string, ts timestamp, count long, series string")
 
 
-@pytest.mark.parametrize("bucket", ["hour", "day", "month"])
-def test_lag_over_buckets(spark, bucket):
+def test_lag_over_parts(spark):
     rows, df = runs_of(spark, 1)
-    got = {r.run_id: r.previous for r in O.with_previous(df, "count", "previous", bucket=bucket).collect()}
+    got = {r.run_id: r.previous for r in O.with_previous(df, "count", "previous").collect()}
     want = {r[0]: (rows[i - 1][2] if i else None) for i, r in enumerate(rows)}
     assert got == want
 
@@ -50,17 +49,58 @@ def test_retention(spark):
     assert O.retain_n(df, 7).count() == len(rows)
 
 
-@pytest.mark.parametrize("width", [1, 7, 1000])
-def test_numbers(spark, width):
+@pytest.mark.parametrize("spread", [1000, 10_000, 2**60])
+def test_numbers(spark, spread):
     rnd = random.Random(3)
-    rows = [(rnd.choice("aaab"), p) for p in rnd.sample(range(10_000), 300)]
+    rows = [(rnd.choice(["a", "a", "a", "b", None]), p) for p in rnd.sample(range(-spread, spread), 300)]
     df = spark.createDataFrame(rows, "kind string, pos long")
-    got = {(r.kind, r.pos): r.n for r in O.number_rows(df, "kind", "pos", "n", width).collect()}
-    for kind in "ab":
+    got = {(r.kind, r.pos): r.n for r in O.number_rows(df, "kind", "pos", "n").collect()}
+    assert len(got) == 300
+    for kind in ("a", "b", None):
         for n, p in enumerate(sorted(p for k, p in rows if k == kind), 1):
             assert got[kind, p] == n
 
 
+@pytest.fixture
+def uncoalesced(spark):
+    """Small parts stay apart, as large ones would."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield spark
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_parts_do_not_follow_days_or_positions(uncoalesced):
+    """A day with all runs, and positions far apart, are cut into as many parts as there are partitions."""
+    spark = uncoalesced
+    runs = spark.range(0, 20_000, 1, 8).select(
+        F.col("id").cast("string").alias("run_id"), F.timestamp_millis(F.col("id") + 1_700_000_000_000).alias("ts"), (F.col("id") % 7).alias("count")
+    )
+    sizes = [r["count"] for r in O.in_order(runs, "ts", "run_id").groupBy("__part").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 7_000
+    got = O.with_previous(runs, "count", "previous").orderBy("ts").select("count", "previous").collect()
+    assert [r.previous for r in got] == [None, *[r["count"] for r in got[:-1]]]
+    sparse = spark.range(0, 4000, 1, 4).select((F.col("id") * F.col("id") * 1_000_000_007).alias("pos"), F.lit("k").alias("kind"))
+    assert len(O.in_order(sparse, "kind", "pos").groupBy("__part").count().collect()) == 4
+    assert [r.n for r in O.number_rows(sparse, "kind", "pos", "n").orderBy("pos").collect()] == list(range(1, 4001))
+    assert [r.n for r in O.numbered(sparse, "n", F.desc("pos")).orderBy(F.desc("pos")).collect()] == list(range(1, 4001))
+    assert O.numbered(sparse.limit(0), "n", "pos").collect() == []
+
+
+def test_first_rows_are_counted_not_sorted(spark):
+    rnd = random.Random(5)
+    for values in (list(range(50)), [rnd.randrange(-(2**62), 2**62) for _ in range(3000)], [7]):
+        df = spark.createDataFrame([(v,) for v in values], "pos long")
+        for n in (1, len(values) // 2 or 1, len(values)):
+            assert O.nth_smallest(df, "pos", n) == sorted(values)[n - 1]
+        assert O.nth_smallest(df, "pos", len(values) + 1) is None
+    assert O.nth_smallest(df.limit(0), "pos", 1) is None and O.first_rows(df, 5).count() == 1
+    big = spark.range(0, 30_000, 1, 8).select((F.col("id") * 97).alias("pos"))
+    head = O.first_rows(big, 20_000)
+    assert head.count() == 20_000 and head.agg(F.max("pos")).first()[0] == 19_999 * 97
+    text = head._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in text and "GlobalLimit" not in text and "SinglePartition" not in text
+
+
 def test_preview(spark):
     df = spark.createDataFrame([(i, f"n{i}", "e") for i in range(12)], "pos long, name string, email string")
     got = [(r["rank"], r.name, r.remaining) for r in O.preview_k(df, 10, "pos").orderBy("rank").collect()]
