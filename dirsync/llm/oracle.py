@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import importance, variants
 from .hostrules import MAX_DUP_LINE_PERCENT, MAX_HOST_RATE, MAX_REPEAT_PERCENT, MAX_SYMBOL_PERCENT, MIN_WORDS
 from .repeats import MATCH
 
@@ -66,4 +67,85 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f LEFT JOIN j USING (source)
 """
 
-ORACLES: dict[str, str] = {"op2_suffix_dedup": _OP2, "op4_host_rules": _OP4}
+#: CRC-32 of the bytes given as hex digits, by its bits: a table of 256 numbers, then a byte at a time.
+_CRC_TABLE = """t AS (
+  SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+)"""
+
+
+def _crc32(hex_digits: str) -> str:
+    byte = f"('0x' || substr({hex_digits}, 2 * i + 1, 2))::BIGINT"
+    steps = f"list_prepend(4294967295, list_transform(range(length({hex_digits}) // 2), lambda i: {byte}))"
+    return f"xor(list_reduce({steps}, lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
+
+
+def _bucket_counts(table: str) -> str:
+    words = f"SELECT unnest(regexp_extract_all({_LOWERED}, '{_FEATURE}')) AS word FROM {table}"
+    return f"SELECT word, count(*) AS n FROM ({words}) GROUP BY word"
+
+
+_FEATURE = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_B = importance.BUCKETS
+_OP12 = f"""
+WITH {_CRC_TABLE}, a AS ({_bucket_counts("documents")}), b AS ({_bucket_counts("benchmark")}), w AS (
+  SELECT word, {_crc32("h")} % {_B} AS bucket FROM (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM a UNION SELECT word FROM b)), t
+), s AS (
+  SELECT bucket, sum(n)::DOUBLE AS n FROM a JOIN w USING (word) GROUP BY bucket
+), g AS (
+  SELECT bucket, sum(n)::DOUBLE AS n FROM b JOIN w USING (word) GROUP BY bucket
+), gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(g.n, 0) + 1) * ((SELECT coalesce(sum(n), 0) FROM s) + {_B})
+    / ((s.n + 1) * ((SELECT coalesce(sum(n), 0) FROM g) + {_B}))))::BIGINT AS gain
+  FROM s LEFT JOIN g USING (bucket)
+), f AS (
+  SELECT doc_id, sum(gain)::BIGINT AS weight, count(*) AS n_features
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '{_FEATURE}')) AS word FROM documents) JOIN w USING (word) JOIN gain USING (bucket)
+  GROUP BY doc_id
+), h AS (
+  SELECT doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    ('0x' || substr(sha256('{importance.SEED}:' || doc_id), 1, 8))::BIGINT AS h
+  FROM documents LEFT JOIN f USING (doc_id)
+), z AS (
+  SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM h
+), r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM z WHERE n_features >= {importance.MIN_WORDS}
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= {importance.PERCENT} * n // 100 THEN rank END AS rank
+FROM z LEFT JOIN r USING (doc_id)
+"""
+
+_OP13 = f"""
+WITH RECURSIVE {_CRC_TABLE}, o AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[a-zÀ-ÿ]+')) AS run FROM documents) GROUP BY doc_id, run
+), c AS (
+  SELECT run, n, {_crc32("x")} AS h FROM (SELECT run, n, hex(encode(doc_id || ':' || run)) AS x FROM o), t
+), a AS (
+  SELECT CASE WHEN h % {variants.ONE_IN} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM c
+), w AS (
+  SELECT word, sum(n)::BIGINT AS n FROM a WHERE length(word) >= {variants.MIN_LETTERS} GROUP BY word HAVING sum(n) >= {variants.MIN_COUNT}
+), d AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)
+), p AS (
+  SELECT x.word, y.word AS near, y.n AS near_n FROM d x JOIN d y ON x.less = y.less AND x.i = y.i AND x.word <> y.word
+  UNION SELECT d.word, w.word, w.n FROM d JOIN w ON d.less = w.word
+  UNION SELECT w.word, d.word, d.n FROM d JOIN w ON d.less = w.word
+), b AS (
+  SELECT word, count(*) AS n_near, min({{'n': -near_n, 'form': near}}) AS best FROM p GROUP BY word
+), f AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN -best.n >= {variants.FACTOR} * n THEN best.form END AS form, CASE WHEN -best.n >= {variants.FACTOR} * n THEN -best.n END AS form_n
+  FROM w LEFT JOIN b USING (word)
+), r AS (
+  SELECT word, word AS root, form AS further FROM f
+  UNION ALL SELECT r.word, f.word, f.form FROM r JOIN f ON r.further = f.word
+)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM f JOIN r ON f.word = r.word AND r.further IS NULL
+"""
+
+ORACLES: dict[str, str] = {"op2_suffix_dedup": _OP2, "op4_host_rules": _OP4, "op12_importance": _OP12, "op13_spelling": _OP13}
