@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dirsync.session import scratch_path
 
-from . import bpe, hnsw, hostrules, importance, language, packing, planes, quality, repeats, simhash, urlfilter, variants
+from . import bpe, hnsw, hostrules, importance, language, packing, planes, quality, repeats, simhash, transducer, urlfilter, variants
 from .common import held_out, table
 
 BYTE_TOKENIZER, WORD_TOKENIZER = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -89,6 +89,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER))
+
+
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -99,5 +103,5 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_url_filter, op2_suffix_dedup, op3_token_planes, op4_host_rules, op5_packing, op6_language_id, op7_embedding_dedup, op8_simhash, op9_bpe, op10_quality,
-    op12_importance, op13_spelling,
+    op11_token_counts, op12_importance, op13_spelling,
 )}
