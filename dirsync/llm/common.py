@@ -69,6 +69,14 @@ def small_batches(batches: Iterable[pa.RecordBatch], column: int, most: int) ->
         release_memory()
 
 
+def bound_batches(spark: SparkSession, most: int = 8_000_000) -> None:
+    """Bound the bytes of the batches that go to Python workers in this session, unless a smaller bound is set."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, "67108864b").removesuffix("b")
+    if not now.isdigit() or int(now) > most:
+        spark.conf.set(name, str(most))
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers starts[i] .. starts[i] + lengths[i] - 1 for every i, in one array."""
     total = int(lengths.sum())

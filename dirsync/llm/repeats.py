@@ -1,20 +1,27 @@
-"""Remove byte strings that stand in an earlier document, with a family of sparse suffix arrays.
+"""Remove byte strings that stand in an earlier document, with families of sparse suffix arrays.
 
 The suffixes that start at anchors are sampled: of the ``RUN`` places in a window
 of ``MATCH`` bytes where ``GRAM`` bytes fit, those with the smallest hash.  Equal
 windows have equal anchors, so no match of MATCH bytes is lost, while about one
-byte in sixteen starts a suffix.  A suffix is known by the hash of its first GRAM
-bytes (``key``) and by that of all bytes that a window around the anchor can reach
-(``cls``, which also holds a few bits for each side of the anchor).
-
-A batch of documents makes a suffix array for every shard of keys: its suffixes,
-sorted.  The task that owns a shard takes the arrays one after another, scans each
-by merging with the levels that it has, and puts it into the family; levels of
-equal size are merged, so there are as many as the logarithm of the batches.  Two
-suffixes of one ``cls`` have all windows in common, which settles the later
-document.  Suffixes of one key and side and of different classes may have some;
-the windows of these few are told apart by the bytes around the anchor in a second
-exchange.
+byte in sixteen starts a suffix.
+
+There are two indexes, each a family of levels whose sizes grow geometrically:
+batches come as sorted arrays, are merged against the levels that are there, and
+equal-sized levels are merged.
+
+The first tells anchors apart by numbers: ``key`` for the GRAM bytes, ``cls`` for
+all bytes that a window around the anchor can reach, with a few bits for each side
+of the anchor.  Two anchors of one class have all windows in common, which settles
+the later document.  Two of one key and side, but of different classes, may have
+some: these few go to the second index with their bytes.
+
+The second is a suffix array in byte order: of every suffix that starts such an
+open window its MATCH bytes, which is the match length that counts.  A match is
+decided on these bytes, first within the task that has the texts, then, for the
+one document of each window that is left, by key for all tasks.
+
+A class is 64 bits of hashes under the 64 of its key; two contexts of the same
+GRAM bytes that differ would have to agree in them to be taken for equal.
 """
 
 from __future__ import annotations
@@ -22,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -33,18 +41,22 @@ from pyspark.sql import functions as F
 
 from dirsync.session import scratch_path
 
-from .common import released, slices, text_bytes
+from .common import bound_batches, released, slices, small_batches, text_bytes
 
 MATCH, GRAM = 50, 20
 RUN = MATCH - GRAM + 1
-#: Bytes of text whose suffixes make one array.
-BATCH_BYTES = 16_000_000
+#: Bytes of text whose suffixes make one array, and that are looked at together.
+BATCH_BYTES, LOOK_BYTES = 8_000_000, 4_000_000
 #: Bytes that are hashed together, and the margin where a longer text is cut.
-PIECE, MARGIN = 1_000_000, 64
+PIECE, MARGIN = 1 << 18, 64
+#: Windows that make one array of the second index, and its shards for each shard of documents.
+BATCH_WINDOWS, CONTEXT_SHARDS = 100_000, 4
 #: Of the bytes of a window beside an anchor, one side has at least so many.
 SIDE = (MATCH - GRAM) // 2
 #: Bytes that windows around an anchor reach.
 REACH = 2 * MATCH - GRAM
+#: The windows that have the bytes before the anchor, and those that have the bytes behind it, by how far ahead of it they start.
+_BEFORE, _AFTER = np.arange(RUN) >= SIDE, np.arange(RUN) <= SIDE
 _REST, _TWELVE = np.uint64((1 << 40) - 1), np.uint64((1 << 12) - 1)
 
 u64 = np.uint64
@@ -60,29 +72,35 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _grown(h: np.ndarray, step: int) -> np.ndarray:
-    """Hashes of twice ``step`` bytes from those of ``step`` bytes."""
-    return _mix(h[:-step] * _M1 + h[step:])
+#: A number for each byte, and the base of the powers; 5 modulo 8, so that two places never have close powers.
+_BYTES = np.random.default_rng(20).integers(0, 1 << 63, 256, np.uint64) * u64(2) + u64(1)
+_BASE = 0x5851F42D4C957F2D
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """The base's powers and their inverses, for every place in a piece."""
+    n = PIECE + 2 * MARGIN + 1
+    return tuple(np.cumprod(np.concatenate([np.ones(1, u64), np.full(n, b, u64)]), dtype=u64) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
 
 
 class Hashes:
-    """Hashes of all strings of some lengths in a text, by doubling; lengths are powers of two."""
+    """Hashes of any string in a text, from sums of its bytes times the powers of their places."""
 
-    def __init__(self, data: np.ndarray, longest: int):
-        self.by = {1: _mix((data.astype(u64) + u64(1)) * _M1)}
-        step = 1
-        while step * 2 <= longest and len(self.by[step]) > step:
-            self.by[step * 2] = _grown(self.by[step], step)
-            step *= 2
+    def __init__(self, data: np.ndarray):
+        powers, self.inverse = _powers()
+        self.upto = np.zeros(len(data) + 1, u64)
+        np.cumsum(_BYTES[data] * powers[: len(data)], out=self.upto[1:])
 
-    def of(self, length: int) -> np.ndarray:
-        """Hash of the ``length`` bytes from every place where they fit; two powers of two cover them."""
-        step = 1 << (length.bit_length() - 1)
-        if step not in self.by:
-            return np.zeros(0, u64)
-        h = self.by[step]
-        rest = length - step
-        return h if not rest else _mix(h[: len(h) - rest] * _M1 + h[rest:] + u64(length))
+    def everywhere(self, length: int) -> np.ndarray:
+        """Hash of the ``length`` bytes from every place where they fit."""
+        h = self.upto[length:] - self.upto[:-length]
+        h *= self.inverse[: len(h)]
+        return _mix(h)
+
+    def of(self, first: np.ndarray, length) -> np.ndarray:
+        """Hash of ``length`` bytes from the given places."""
+        return _mix((self.upto[first + length] - self.upto[first]) * self.inverse[first])
 
 
 def _sliding(h: np.ndarray, width: int, pick) -> np.ndarray:
@@ -110,8 +128,8 @@ class Suffixes:
         self.key = self.cls = none
         if n < MATCH:
             return
-        hashes = Hashes(self.data, MATCH)
-        gram, window = hashes.of(GRAM), hashes.of(MATCH)
+        hashes = Hashes(self.data)
+        gram = hashes.everywhere(GRAM)
         end = np.repeat(self.ends, sizes)
         whole = end[: n - MATCH + 1] >= np.arange(MATCH, n + 1)
         least = _sliding(gram, RUN, np.minimum)
@@ -122,16 +140,14 @@ class Suffixes:
         fits = at + GRAM <= self.ends[unit]
         self.at, self.unit = at[fits], unit[fits]
         self.key = gram[self.at]
-        # all bytes that a window around the anchor reaches: two overlapping strings, cut at the text's ends
         self.left = np.minimum(self.at - self.starts[self.unit], MATCH - GRAM)
         self.right = np.minimum(self.ends[self.unit] - self.at, MATCH)
         shape = _mix((self.left * 64 + self.right).astype(u64) * _M2 + u64(3))
-        first, last = self.at - self.left, self.at + self.right - MATCH
-        whole = _mix(_mix(window[first] * _M1 + window[last]) + shape) & _REST
+        whole = _mix(hashes.of(self.at - self.left, self.left + self.right) + shape) & _REST
         # a window in common means SIDE bytes in common on one side of the anchor: twelve bits of each side's hash
-        beside, none = hashes.of(SIDE), u64(0)
-        before = np.where(self.left >= SIDE, beside[np.maximum(self.at - SIDE, 0)], none) & _TWELVE
-        after = np.where(self.right >= GRAM + SIDE, beside[np.minimum(self.at + GRAM, len(beside) - 1)], none) & _TWELVE
+        none = u64(0)
+        before = np.where(self.left >= SIDE, hashes.of(np.maximum(self.at - SIDE, 0), SIDE), none) & _TWELVE
+        after = np.where(self.right >= GRAM + SIDE, hashes.of(np.minimum(self.at + GRAM, n - SIDE), SIDE), none) & _TWELVE
         self.cls = (before << u64(52)) | (after << u64(40)) | whole
 
 
@@ -239,7 +255,7 @@ class Family:
             if not len(level) or not len(batch):
                 continue
             at = np.minimum(np.searchsorted(level.code, batch.code), len(level) - 1)
-            hit = level.code[at] == batch.code
+            hit = (level.key[at] == batch.key) & (level.cls[at] == batch.cls)
             at, old, new = at[hit], level.doc[at[hit]], batch.doc[hit]
             differ = old != new
             out.append((batch.cls[hit][differ], np.maximum(old, new)[differ]))
@@ -251,24 +267,24 @@ class Family:
             self.levels.append(b.merged(a))
         return out
 
-    def mixed(self) -> Covered:
-        """(class, document) of the suffixes that may share a window with one of another document.
+    def mixed(self) -> Iterator[tuple[int, Covered]]:
+        """(kind, (class, document)) of the suffixes that may share a window with one of another document.
 
-        They have the key and one side in common, but not the class.
+        They have the key and the bytes on one side in common.
         """
-        key, cls, doc = (np.concatenate([np.zeros(0, u64), *x]) for x in zip(*[(v.key, v.cls, v.doc) for v in self.levels], strict=True)) if self.levels else (np.zeros(0, u64),) * 3
-        if not len(key):
-            return cls, doc
-        open_ = np.zeros(len(key), bool)
-        for shift in (52, 40):
+        if not self.levels:
+            return
+        key, cls, doc = (np.concatenate(x) for x in zip(*[(v.key, v.cls, v.doc) for v in self.levels], strict=True))
+        for kind, shift in ((MIXED_BEFORE, 52), (MIXED_AFTER, 40)):
             side = (cls >> u64(shift)) & _TWELVE
             order = np.lexsort((side, key))
             k, x, d = key[order], side[order], doc[order]
-            new = np.concatenate([[True], (k[1:] != k[:-1]) | (x[1:] != x[:-1])])
+            new = np.concatenate([[True], (k[1:] != k[:-1]) | (x[1:] != x[:-1])])[: len(k)]
             at = np.flatnonzero(new)
-            differ = np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at)
-            open_[order] |= differ[np.cumsum(new) - 1]
-        return cls[open_], doc[open_]
+            if len(at):
+                differ = np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at)
+                open_ = order[differ[np.cumsum(new) - 1]]
+                yield kind, (cls[open_], doc[open_])
 
 
 def _order(doc_ids: np.ndarray) -> np.ndarray:
@@ -293,7 +309,7 @@ def _rows(shards: np.ndarray, n_shards: int, columns: list[np.ndarray], sorted_b
 _BLOB = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
 _BLOB_DDL = "shard int, kind int, blob binary"
 #: Kinds of blobs.
-ARRAY, COVERED, MIXED, SHARED, CONTEXT, TEXT, PENDING, DONE = range(8)
+ARRAY, COVERED, MIXED_BEFORE, MIXED_AFTER, SHARED, CONTEXT, TEXT, PENDING, DONE = range(9)
 
 
 def _blobs(kind: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
@@ -326,23 +342,22 @@ def make_arrays(docs: DataFrame, n: int) -> DataFrame:
     """Suffix arrays of batches by shard, and what a batch settles by itself, from (doc, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 1, BATCH_BYTES):
             doc, texts = _order(batch.column(0).to_numpy()), batch.column(1).to_pylist()
-            for part in slices(map(len, texts), BATCH_BYTES):
-                found = []
-                for numbers, _, own, s in pieces(texts[part]):
-                    low, high = np.array(own).T
-                    inside = s.at - s.starts[s.unit]
-                    keep = (inside >= low[s.unit]) & (inside < high[s.unit])
-                    found.append((s.key[keep], s.cls[keep], doc[part][np.array(numbers)[s.unit[keep]]]))
-                columns = [np.concatenate(c) for c in zip(*found, strict=True)]
-                if not len(columns[0]):
-                    continue
-                array, (cls, d) = settle(*_distinct(*columns))
-                if len(cls):
-                    yield from _by_document(COVERED, n, d, cls)
-                order = np.argsort(array.key, kind="stable")
-                yield from _blobs(ARRAY, _arrays(array.key[order], array.cls[order], array.doc[order], n))
+            found = []
+            for numbers, _, own, s in pieces(texts):
+                low, high = np.array(own).T
+                inside = s.at - s.starts[s.unit]
+                keep = (inside >= low[s.unit]) & (inside < high[s.unit])
+                found.append((s.key[keep], s.cls[keep], doc[np.array(numbers)[s.unit[keep]]]))
+            columns = [np.concatenate(c) for c in zip(*found, strict=True)]
+            if not len(columns[0]):
+                continue
+            array, (cls, d) = settle(*_distinct(*columns))
+            if len(cls):
+                yield from _by_document(COVERED, n, d, cls)
+            order = np.argsort(array.key, kind="stable")
+            yield from _blobs(ARRAY, _arrays(array.key[order], array.cls[order], array.doc[order], n))
 
     return docs.mapInArrow(released(run), _BLOB_DDL)
 
@@ -381,9 +396,9 @@ def merge_arrays(arrays: DataFrame, n: int) -> DataFrame:
             if covered := [c for c in covered if len(c[0])]:
                 cls, doc = (np.concatenate(c) for c in zip(*covered, strict=True))
                 yield from _by_document(COVERED, n, doc, cls)
-            cls, doc = family.mixed()
-            if len(cls):
-                yield from _by_document(MIXED, n, doc, cls)
+            for kind, (cls, doc) in family.mixed():
+                if len(cls):
+                    yield from _by_document(kind, n, doc, cls)
 
     return arrays.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(released(run), _BLOB_DDL)
 
@@ -436,85 +451,187 @@ def _runs(mask: np.ndarray) -> np.ndarray:
 
 
 def _cover(n: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    mark = np.zeros(n + 1, np.int64)
+    mark = np.zeros(n + 1, np.int32)
     np.add.at(mark, first, 1)
     np.add.at(mark, last, -1)
-    return np.cumsum(mark)[:n] > 0
+    return np.cumsum(mark, out=mark)[:n] > 0
+
+
+def _mark(removed: np.ndarray, at: np.ndarray, bits: np.ndarray) -> None:
+    """Mark the windows that the bits name; bit j is the window that starts j bytes before the anchor."""
+    starts = np.concatenate([at[((bits >> u64(j)) & u64(1)).astype(bool)] - j for j in range(RUN)])
+    if len(starts):
+        removed |= _cover(len(removed), starts, starts + MATCH)
+
+
+class Open:
+    """Anchors with open windows: number of the text, place in all texts, key, class, document, left, bits of the windows, context bytes."""
+
+    def __init__(self, rows: list[tuple[np.ndarray, ...]]):
+        empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), *[np.zeros(0, u64)] * 3, np.zeros(0, np.int64), np.zeros(0, u64), np.zeros((0, REACH), np.uint8))
+        self.text, self.at, self.key, self.cls, self.doc, self.left, self.bits, self.data = (np.concatenate(c) for c in zip(*[empty, *rows], strict=True))
+
+    def take(self, mask: np.ndarray) -> Open:
+        return Open([(self.text[mask], self.at[mask], self.key[mask], self.cls[mask], self.doc[mask], self.left[mask], self.bits[mask], self.data[mask])])
+
+    def once(self) -> tuple[Open, np.ndarray]:
+        """Each class of a document once, with the windows of all its places; and where each row went."""
+        _, first, back = np.unique(_pair(self.doc, self.cls), return_index=True, return_inverse=True)
+        found = self.take(first)
+        found.bits[:] = 0
+        np.bitwise_or.at(found.bits, back, self.bits)
+        return found, back
+
+    def windows(self) -> Windows:
+        rows, places = np.nonzero((self.bits[:, None] >> np.arange(RUN, dtype=u64)) & u64(1))
+        return Windows.cut(self.data, rows, self.left[rows] - places, self.doc[rows], self.cls[rows], places.astype(np.uint8))
+
+    def columns(self) -> list[np.ndarray]:
+        return [self.key, self.cls, self.doc, self.left.astype(u64), self.bits, *np.ascontiguousarray(self.data).view("<u8").astype(u64).T]
+
+
+class Windows:
+    """A suffix array: of suffixes that start a window the MATCH bytes, in byte order, then by document; class and place for the answer."""
+
+    def __init__(self, string: np.ndarray, doc: np.ndarray, cls: np.ndarray, place: np.ndarray):
+        self.string, self.doc, self.cls, self.place = string, doc, cls, place
+
+    @classmethod
+    def cut(cls_, data: np.ndarray, rows: np.ndarray, starts: np.ndarray, doc, cls, place) -> Windows:
+        strings = np.empty((len(rows), MATCH), np.uint8)
+        for part in slices([MATCH] * len(rows), MATCH * 50_000):
+            strings[part] = data[rows[part, None], starts[part, None] + np.arange(MATCH)]
+        found = Windows(strings.view(f"S{MATCH}").ravel(), doc, cls, place)
+        return found.take(np.argsort(doc, kind="stable"))._sorted()
+
+    def __len__(self) -> int:
+        return len(self.doc)
+
+    def take(self, which: np.ndarray) -> Windows:
+        return Windows(self.string[which], self.doc[which], self.cls[which], self.place[which])
+
+    def _sorted(self) -> Windows:
+        return self.take(np.argsort(self.string, kind="stable"))
 
+    def merged(self, other: Windows) -> Windows:
+        """Both in order; two sorted runs with no string in common but of one document."""
+        return Windows(*(np.concatenate([getattr(self, c), getattr(other, c)]) for c in ("string", "doc", "cls", "place")))._sorted()
 
-def _first_look(docs: np.ndarray, texts: list[bytes], told: Told):
-    """Per text the mask of removed bytes and whether windows are open; and the contexts of suffixes with open windows."""
-    removed = [np.zeros(len(t), bool) for t in texts]
-    pending = np.zeros(len(texts), bool)
-    contexts = []
+    def settled(self) -> tuple[Windows, Windows]:
+        """(the windows of the first document that has them, those of later ones)."""
+        if not len(self):
+            return self, self
+        new = np.concatenate([[True], self.string[1:] != self.string[:-1]])
+        late = self.doc != self.doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+        return self.take(~late), self.take(late)
+
+
+class WindowFamily:
+    """Levels of suffix arrays, each with the windows of their first documents."""
+
+    def __init__(self) -> None:
+        self.levels: list[Windows] = []
+
+    def add(self, array: Windows) -> list[Windows]:
+        """The windows that turn out to stand in an earlier document, of the array or of the levels."""
+        batch, late = array.settled()
+        out = [late]
+        for i, level in enumerate(self.levels):
+            if not len(level) or not len(batch):
+                continue
+            at = np.searchsorted(level.string, batch.string)
+            inside = np.minimum(at, len(level) - 1)
+            hit = level.string[inside] == batch.string
+            old = level.doc[inside]
+            over = np.flatnonzero(hit & (old > batch.doc))
+            if len(over):
+                upto = np.searchsorted(level.string, batch.string[over], side="right")
+                gone = _cover(len(level), at[over], upto)
+                out.append(level.take(gone))
+                self.levels[i] = level.take(~gone)
+            lost = hit & (old < batch.doc)
+            out.append(batch.take(lost))
+            batch = batch.take(~lost)
+        self.levels.append(batch)
+        while len(self.levels) > 1 and len(self.levels[-2]) < 2 * len(self.levels[-1]):
+            a, b = self.levels.pop(), self.levels.pop()
+            self.levels.append(b.merged(a))
+        return out
+
+
+def _told_bits(late: list[Windows]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, class, bits) of settled windows, sorted by document and class."""
+    doc, cls = (np.concatenate([np.zeros(0, u64), *[getattr(w, c) for w in late]]) for c in ("doc", "cls"))
+    bit = u64(1) << np.concatenate([np.zeros(0, np.uint8), *[w.place for w in late]]).astype(u64)
+    order = np.lexsort((cls, doc))
+    doc, cls, bit = doc[order], cls[order], bit[order]
+    if not len(doc):
+        return doc, cls, bit
+    at = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (cls[1:] != cls[:-1])]))
+    return doc[at], cls[at], np.bitwise_or.reduceat(bit, at)
+
+
+def _first_look(docs: np.ndarray, texts: list[bytes], told: Told) -> tuple[np.ndarray, Open]:
+    """The mask of removed bytes of all texts, one after another, and the anchors with windows that are still open."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    base = np.cumsum(sizes) - sizes
+    removed = np.zeros(int(sizes.sum()), bool)
+    rows = []
     for numbers, places, _, s in pieces(texts):
+        if not len(s.at):
+            continue
         numbers = np.array(numbers)
-        if len(s.at):
-            doc = docs[numbers[s.unit]]
-            covered = told.has(COVERED, doc, s.cls)
-            mixed = told.has(MIXED, doc, s.cls) & ~covered
-            first, last = s.at - s.left, s.at + s.right
+        doc, start = docs[numbers[s.unit]], base[numbers] + np.array(places)
+        covered = told.has(COVERED, doc, s.cls)
+        first, last = s.at - s.left, s.at + s.right
+        if covered.any():
             gone = _cover(len(s.data), first[covered], last[covered])
-            # a class whose windows are all settled by its neighbours has nothing open
-            settled = np.concatenate([[0], np.cumsum(~_cover(len(s.data), first[covered], last[covered] - MATCH + 1))])
-            mixed &= settled[last - MATCH + 1] > settled[first]
-            pending[numbers[s.unit[mixed]]] = True
-            contexts.append((s.key[mixed], s.cls[mixed], doc[mixed], s.left[mixed].astype(u64), *_context(s, mixed)))
             for u in np.unique(s.unit[covered]).tolist():
-                mask = gone[s.starts[u] : s.ends[u]]
-                removed[numbers[u]][places[u] : places[u] + len(mask)] |= mask
-    return removed, pending, [np.concatenate(c) for c in zip(*contexts, strict=True)] if contexts else []
-
-
-def _context(s: Suffixes, chosen: np.ndarray) -> list[np.ndarray]:
-    """The bytes that windows around the chosen anchors reach, eight to a number, zeros behind, and how many they are."""
+                removed[start[u] : start[u] + s.ends[u] - s.starts[u]] |= gone[s.starts[u] : s.ends[u]]
+        before, after = (told.has(kind, doc, s.cls) & ~covered for kind in (MIXED_BEFORE, MIXED_AFTER))
+        own = np.flatnonzero(before | after)
+        if not len(own):
+            continue
+        # windows that fit and have the side in question, and that no neighbour has settled
+        known = _cover(len(s.data), first[covered], last[covered] - MATCH + 1)
+        place = np.arange(RUN)
+        fits = (place <= s.left[own, None]) & (place >= MATCH - s.right[own, None])
+        fits &= (before[own, None] & _BEFORE) | (after[own, None] & _AFTER)
+        fits &= ~known[np.maximum(s.at[own, None] - place, 0)]
+        bits = (fits.astype(u64) << place.astype(u64)).sum(axis=1, dtype=u64)
+        own, bits = own[bits > 0], bits[bits > 0]
+        unit = s.unit[own]
+        rows.append((numbers[unit], start[unit] + s.at[own] - s.starts[unit], s.key[own], s.cls[own], doc[own], s.left[own], bits, _context(s, own)))
+    found = Open(rows)
+    # what an earlier document of these texts has is settled here
+    once, back = found.once()
+    here = np.zeros(len(once.doc), u64)
+    doc, cls, bits = _told_bits([once.windows().settled()[1]])
+    if len(doc):  # ``once`` is in the order of the pairs
+        here[np.searchsorted(_pair(once.doc, once.cls), _pair(doc, cls))] = bits
+    _mark(removed, found.at, here[back])
+    found.bits &= ~here[back]
+    return removed, found.take(found.bits > 0)
+
+
+def _context(s: Suffixes, chosen: np.ndarray) -> np.ndarray:
+    """The bytes that windows around the chosen anchors reach, zeros behind."""
     first, size = (s.at - s.left)[chosen], (s.left + s.right)[chosen]
     place = first[:, None] + np.arange(REACH)
-    data = s.data[np.minimum(place, len(s.data) - 1)] if len(s.data) else np.zeros(place.shape, np.uint8)
-    data = np.where(np.arange(REACH) < size[:, None], data, 0).astype(np.uint8)
-    return [*np.ascontiguousarray(data).view("<u8").astype(u64).T, size.astype(u64)]
+    data = s.data[np.minimum(place, len(s.data) - 1)]
+    return np.where(np.arange(REACH) < size[:, None], data, 0).astype(np.uint8)
 
 
-def _shared_windows(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(class, document, bits) of contexts whose windows start in an earlier document's context of the same key.
+def _open_row(spans: np.ndarray, cls: np.ndarray, at: np.ndarray) -> bytes:
+    """What is known about a text with open windows: removed spans, and class and place of the anchors."""
+    return b"".join([len(spans).to_bytes(8, "little"), spans.astype("<i8").tobytes(), cls.astype("<u8").tobytes(), at.astype("<i8").tobytes()])
 
-    Bit j stands for the window that starts j bytes before the anchor.
-    """
-    key, cls, doc, left = columns[:4]
-    data = np.ascontiguousarray(np.stack(columns[4:-1], axis=1)).view(np.uint8)
-    size = columns[-1].astype(np.int64)
-    by = {1: _mix((data.astype(u64) + u64(1)) * _M1)}
-    for step in (1, 2, 4, 8, 16):
-        by[2 * step] = _mix(by[step][:, :-step] * _M1 + by[step][:, step:])
-    whole = _mix(by[32][:, : REACH - MATCH + 1] * _M1 + by[32][:, MATCH - 32 : MATCH - 32 + REACH - MATCH + 1])
-    bits = np.zeros(len(key), u64)
-    for j in range(RUN):
-        start = left.astype(np.int64) - j
-        own = np.flatnonzero((start >= 0) & (start + MATCH <= size))
-        hashed, k, d = whole[own, start[own]], key[own], doc[own]
-        order = np.lexsort((d, hashed, k))
-        k, hashed, d = k[order], hashed[order], d[order]
-        new = np.concatenate([[True], (k[1:] != k[:-1]) | (hashed[1:] != hashed[:-1])]) if len(own) else np.zeros(0, bool)
-        late = d != d[np.flatnonzero(new)][np.cumsum(new) - 1] if len(own) else new
-        bits[own[order[late]]] |= u64(1 << j)
-    hit = bits > 0
-    return cls[hit], doc[hit], bits[hit]
-
-
-def _second_look(docs: np.ndarray, texts: list[bytes], removed: list[np.ndarray], told: Told) -> None:
-    """Add the windows that are told to start in an earlier document."""
-    for numbers, places, _, s in pieces(texts):
-        if not len(s.at):
-            continue
-        bits = told.bits(docs[np.array(numbers)[s.unit]], s.cls)
-        for j in range(RUN):
-            hit = np.flatnonzero((bits >> u64(j)) & u64(1))
-            if not len(hit):
-                continue
-            gone = _cover(len(s.data), s.at[hit] - j, s.at[hit] - j + MATCH)
-            for u in np.unique(s.unit[hit]).tolist():
-                mask = gone[s.starts[u] : s.ends[u]]
-                removed[numbers[u]][places[u] : places[u] + len(mask)] |= mask
+
+def _read_open_row(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int.from_bytes(blob[:8], "little")
+    spans = np.frombuffer(blob, "<i8", 2 * n, 8).reshape(-1, 2)
+    rest = np.frombuffer(blob, "<u8", offset=8 + 16 * n)
+    return spans, rest[: len(rest) // 2], rest[len(rest) // 2 :].view("<i8")
 
 
 _ANSWER = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.int64())), ("sha256", pa.string()), ("kept", pa.binary())]
@@ -542,10 +659,12 @@ def remove_repeats(docs: DataFrame, with_text: bool = True, id_col="doc_id", tex
 
     Shards are as many as the session's shuffle partitions.  Texts are moved once,
     to the shard of their document, compressed; those with open windows are written
-    and moved again.  All that is kept for a shard at a time are its suffixes, or what is
-    told about its documents; texts stream by.
+    with their anchors and moved again, to be cut once these are settled.  All that
+    is kept for a shard at a time are its suffixes, or what is told about its
+    documents; texts stream by.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
     rest = F.struct(*others) if others else F.struct(F.lit(None).cast("string").alias("nothing"))
@@ -601,7 +720,7 @@ def _looker(first: bool, n: int, with_text: bool):
                         told.add_bits(blob) if kinds[i] == SHARED else told.add(int(kinds[i]), blob)
                 else:
                     sizes = [zstandard.frame_content_size(batch.column(4)[i].as_py()) for i in range(at, upto)]
-                    for part in slices(sizes, BATCH_BYTES):
+                    for part in slices(sizes, LOOK_BYTES):
                         yield from look(batch.slice(at + part.start, part.stop - part.start), told)
                 at = upto
 
@@ -611,27 +730,36 @@ def _looker(first: bool, n: int, with_text: bool):
         texts = [open_(z) for z in pressed]
         known = ids.is_valid().to_numpy(zero_copy_only=False)
         docs = _order(ids.fill_null(0).to_numpy())
+        ends = np.cumsum([len(t) for t in texts])
         if first:
+            # rows without an id have no part in the search; their texts count as empty in it
             read = [t if k else b"" for t, k in zip(texts, known, strict=True)]
-            removed, pending, contexts = _first_look(docs, read, told)
-            removed = [m if k else np.zeros(len(t), bool) for m, t, k in zip(removed, texts, known, strict=True)]
-            if contexts and len(contexts[0]):
-                columns = _distinct(*contexts)
-                for s, blob in _rows((_mix(columns[0]) % u64(n)).astype(np.int64), n, columns, sorted_by=0):
-                    yield answer(batch.slice(0, 0), [s], CONTEXT, [blob], [], [])
+            marked, found = _first_look(docs, read, told)
+            ends = np.cumsum([len(t) for t in read])
+            removed = [m if k else np.zeros(len(t), bool) for m, k, t in zip(np.split(marked, ends[:-1]), known, texts, strict=True)]
+            pending = np.bincount(found.text, minlength=len(texts)) > 0
+            once = found.once()[0]
+            for s, blob in _rows((_mix(once.key) % u64(CONTEXT_SHARDS * n)).astype(np.int64), CONTEXT_SHARDS * n, once.columns()):
+                yield answer(batch.slice(0, 0), [s], CONTEXT, [blob], [], [])
+            order = np.argsort(found.text, kind="stable")
+            bounds = np.searchsorted(found.text[order], np.arange(len(texts) + 1))
             for kind, mask in ((DONE, ~pending), (PENDING, pending)):
                 at = np.flatnonzero(mask)
                 if len(at):
                     own = batch.take(pa.array(at))
-                    marks = [_squeeze(_runs(removed[i]).reshape(-1).astype(u64)) for i in at] if kind == PENDING else None
-                    yield answer(own, None, kind, marks, [(pressed if kind == PENDING else texts)[i] for i in at], [removed[i] for i in at])
+                    blobs = []
+                    for i in at.tolist() if kind == PENDING else []:
+                        mine = order[bounds[i] : bounds[i + 1]]
+                        blobs.append(_open_row(_runs(removed[i]), found.cls[mine], found.at[mine] - (ends[i] - len(read[i]))))
+                    yield answer(own, None, kind, blobs or None, [(pressed if kind == PENDING else texts)[i] for i in at], [removed[i] for i in at])
         else:
-            removed = []
-            for t, blob in zip(texts, batch.column(2).to_pylist(), strict=True):
-                spans = _unsqueeze(blob)[0].astype(np.int64).reshape(-1, 2)
-                removed.append(_cover(len(t), spans[:, 0], spans[:, 1]))
-            _second_look(docs, texts, removed, told)
-            yield answer(batch, None, DONE, None, texts, removed)
+            base = ends - [len(t) for t in texts]
+            spans, cls, at = zip(*map(_read_open_row, batch.column(2).to_pylist()), strict=True)
+            owner = np.repeat(np.arange(len(texts)), [len(c) for c in cls])
+            known_spans = np.concatenate([s + b for s, b in zip(spans, base.tolist(), strict=True)])
+            marked = _cover(int(ends[-1]), known_spans[:, 0], known_spans[:, 1])
+            _mark(marked, np.concatenate(at) + base[owner], told.bits(docs[owner], np.concatenate(cls)))
+            yield answer(batch, None, DONE, None, texts, np.split(marked, ends[:-1]))
 
     def answer(own: pa.RecordBatch, shards, kind, blobs, texts, removed) -> pa.RecordBatch:
         rows = len(shards) if shards is not None else own.num_rows
@@ -651,25 +779,37 @@ def _looker(first: bool, n: int, with_text: bool):
 def _settle_contexts(contexts: DataFrame, n: int) -> DataFrame:
     """Per shard of documents: of each class with open windows those that an earlier document has too.
 
-    A shard's contexts are held together: they are the few at the edges of what
-    documents share.
+    Contexts come by shards of keys, of which a task has several, one after
+    another.  Of a string that very many documents have, each task sent one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _by_shard(batches):
-            parts = []
+            family, late, held, count = WindowFamily(), [], [], 0
             for _, batch, i in rows:
-                columns = _unsqueeze(batch.column(2)[i].as_py())
-                parts.append([np.cumsum(columns[0], dtype=u64), *columns[1:]])
-            cls, doc, bits = _shared_windows([np.concatenate(c) for c in zip(*parts, strict=True)])
-            if len(cls):
-                order = np.lexsort((cls, doc))
-                own = [doc[order], cls[order], bits[order]]
-                yield from _blobs(SHARED, _rows(_doc_shard(own[0], n), n, own, sorted_by=0))
+                key, cls, doc, left, bits, *words = _unsqueeze(batch.column(2)[i].as_py())
+                nothing = np.zeros(len(key), np.int64)
+                data = np.ascontiguousarray(np.stack(words, axis=1)).view(np.uint8)
+                held.append(Open([(nothing, nothing, key, cls, doc, left.astype(np.int64), bits, data)]).windows())
+                count += len(held[-1])
+                if count >= BATCH_WINDOWS:
+                    late += family.add(_joined(held))
+                    held, count = [], 0
+            if held:
+                late += family.add(_joined(held))
+            doc, cls, bits = _told_bits(late)
+            if len(doc):
+                yield from _blobs(SHARED, _rows(_doc_shard(doc, n), n, [doc, cls, bits], sorted_by=0))
 
     return contexts.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(released(run), _BLOB_DDL)
 
 
+def _joined(arrays: list[Windows]) -> Windows:
+    """Arrays that hold the same strings for different documents, in one order."""
+    whole = Windows(*(np.concatenate([getattr(w, c) for w in arrays]) for c in ("string", "doc", "cls", "place")))
+    return whole.take(np.argsort(whole.doc, kind="stable"))._sorted()
+
+
 def _pressed(rows: DataFrame) -> DataFrame:
     """Texts compressed before they are moved."""
     ddl = f"doc bigint, text binary, row {rows.schema['row'].dataType.simpleString()}"

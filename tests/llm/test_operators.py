@@ -88,6 +88,25 @@ def test_family_keeps_few_levels():
     assert len(family.levels) <= 7 and sum(map(len, family.levels)) == 64 * 50
 
 
+@pytest.mark.parametrize("batch", [7, 40, 1000])
+def test_windows_are_told_apart_by_bytes(batch):
+    """Windows that differ in one byte, zeros at the end among them, in any order of documents."""
+    rng = np.random.default_rng(batch)
+    strings = rng.integers(0, 2, (60, 3), dtype=np.uint8)[rng.integers(0, 60, 1000)]
+    data = np.concatenate([np.full((1000, 47), 7, np.uint8), strings], axis=1)
+    doc, number = rng.integers(0, 300, 1000).astype(np.uint64), np.arange(1000, dtype=np.uint64)
+    family, late = repeats.WindowFamily(), []
+    for a in range(0, 1000, batch):
+        rows = np.arange(a, min(a + batch, 1000))
+        late += family.add(repeats.Windows.cut(data, rows, np.zeros(len(rows), int), doc[rows], number[rows], np.zeros(len(rows), np.uint8)))
+    told = {int(i) for w in late for i in w.cls}
+    first = {}
+    for i in range(1000):
+        first[data[i].tobytes()] = min(first.get(data[i].tobytes(), 10**9), int(doc[i]))
+    assert told == {i for i in range(1000) if first[data[i].tobytes()] < doc[i]}
+    assert all((w.string[1:] >= w.string[:-1]).all() for w in family.levels) and len(family.levels) <= 11
+
+
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_segments_give_the_ids_of_whole_texts(path):
     rnd = random.Random(2)
