@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dirsync.operators.lookups import lookup
 from dirsync.session import materialise
 
 from .components import components
 
 THRESHOLD = 0.95
-SHARDS = 12
+#: Shards at least, and vectors of a shard at most, on average.
+SHARDS, SHARD_VECTORS = 12, 20_000
 #: Links of a node, width of the beam while building and at first in a search.
 LINKS, BUILD_BEAM, BEAM = 12, 40, 48
 #: Queries that go through a graph together, and those of them that are audited.
@@ -204,38 +206,41 @@ def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, query, id, times, vector), members before queries: links of each query, and links that span."""
+    """Rows (shard, query, node, times, vector), members before queries: links of each query, and links that span.
+
+    The vectors of a shard have one length; a batch may have shards of several.
+    """
     none = pa.nulls
 
     def rows_of(ids, n, a, b) -> pa.RecordBatch:
         x, y = len(ids), len(a)
         columns = [pa.concat_arrays([pa.array(ids, pa.int64()), none(y, pa.int64())]), pa.concat_arrays([pa.array(n, pa.int64()), none(y, pa.int64())])]
         columns += [pa.concat_arrays([none(x, pa.int64()), pa.array(c, pa.int64())]) for c in (a, b)]
-        return pa.RecordBatch.from_arrays(columns, names=["vec_id", "n_links", "a", "b"])
+        return pa.RecordBatch.from_arrays(columns, names=["node", "n_links", "a", "b"])
 
     shard, graph, members = None, None, []
     exact = np.zeros((0, 0))
     for batch in batches:
         shards, query = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         ids, times = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-        values = batch.column(4).flatten().to_numpy().astype(np.float64)
-        vectors = values.reshape(batch.num_rows, -1)
-        at = 0
+        vectors, at = batch.column(4), 0
         while at < batch.num_rows:
             if shards[at] != shard:
                 shard, graph, members = shards[at], None, []
             upto = at + int(np.argmax(np.append((shards[at:] != shard) | (query[at:] != query[at]), True)))
+            own_vectors = vectors.slice(at, upto - at).flatten().to_numpy().astype(np.float64).reshape(upto - at, -1)
             if not query[at]:
-                members.append((ids[at:upto], times[at:upto], vectors[at:upto]))
+                members.append((ids[at:upto], times[at:upto], own_vectors))
                 at = upto
                 continue
             if graph is None:
-                own_ids, own_times, own = (np.concatenate(c) for c in zip(*members, strict=True)) if members else (ids[:0], times[:0], vectors[:0])
+                own_ids, own_times, own = (np.concatenate(c) for c in zip(*members, strict=True)) if members else (ids[:0], times[:0], own_vectors[:0])
                 exact = own / np.linalg.norm(own, axis=1, keepdims=True)
                 graph, members = Graph(exact.astype(np.float32)), []
             for i in range(at, upto, TOGETHER):
                 j = min(upto, i + TOGETHER)
-                unit = vectors[i:j] / np.linalg.norm(vectors[i:j], axis=1, keepdims=True)
+                asked = own_vectors[i - at : j - at]
+                unit = asked / np.linalg.norm(asked, axis=1, keepdims=True)
                 if graph.n:
                     q, node = graph.links_of(unit.astype(np.float32), THRESHOLD - 1e-5)
                     good = np.concatenate([np.einsum("ij,ij->i", unit[q[k : k + 50_000]], exact[node[k : k + 50_000]]) for k in range(0, len(q), 50_000)] or [np.zeros(0)])
@@ -246,15 +251,17 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = upto
 
 
-def near_duplicates(vectors: DataFrame, shards: int = SHARDS, id_col="vec_id", vector_col="embedding") -> DataFrame:
+def near_duplicates(vectors: DataFrame, shards: int | None = None, id_col="vec_id", vector_col="embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row of ``vectors``.
 
     Vectors link at a cosine of ``THRESHOLD`` or more in double precision.  Null
     vectors, zero vectors, vectors with a null or non-finite part, and rows without
-    id link with nothing; so do vectors of different lengths with each other.  A
-    repeated row counts as another vector with the same id.  An empty table gives
-    no rows; other columns are not read.  Of links, a task gives each query's
-    number and at most one row a node, so a dense group does not multiply.
+    id link with nothing; so do vectors of different lengths with each other, of
+    which there may be any number.  A repeated row counts as another vector with
+    the same id, and rows of one id with different vectors link each for itself.
+    An empty table gives no rows; other columns are not read.  Of links, a task
+    gives each query's number and at most one row a node, so a dense group does not
+    multiply.  Without ``shards`` there are as many as SHARD_VECTORS asks for.
     """
     rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -262,29 +269,25 @@ def near_duplicates(vectors: DataFrame, shards: int = SHARDS, id_col="vec_id", v
     # a written copy with one form of zero, so that equal vectors have equal bytes
     rows = materialise(rows.withColumn("v", F.when(usable, F.transform("v", lambda x: x + 0.0))), "vectors")
     members = rows.where("v IS NOT NULL").groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("times"))
-    members = materialise(members.select("id", "times", "v", F.size("v").alias("length")), "vector-classes")
-    lengths = [r[0] for r in members.select("length").distinct().limit(1001).collect()]
-    if len(lengths) > 1000:
-        raise ValueError("vectors of more than 1,000 different lengths")
+    node = F.monotonically_increasing_id().alias("node")
+    members = materialise(members.select(node, "id", "times", "v", F.size("v").cast("bigint").alias("length")), "vector-classes")
+    shards = shards or max(SHARDS, -(-members.count() // SHARD_VECTORS))
 
-    found = None
-    for length in sorted(lengths):
-        own = members.where(F.col("length") == length)
-        index = own.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("query"), "id", "times", "v")
-        every = F.explode(F.array(*[F.lit(s) for s in range(shards)]))
-        asked = own.select(every.alias("shard"), F.lit(1).alias("query"), "id", "times", "v")
-        dealt = index.unionByName(asked).repartitionByRange(shards, "shard").sortWithinPartitions("shard", "query")
-        part = dealt.mapInArrow(_compare, "vec_id bigint, n_links bigint, a bigint, b bigint")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = members.select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("a"), F.col("id").alias("b")).withColumnRenamed("id", "vec_id")
-    found = materialise(found, "vector-links")
+    # the shards of each length are numbered apart
+    place = lambda shard: (F.col("length") * shards + shard).alias("shard")
+    index = members.select(place(F.pmod(F.xxhash64("node"), F.lit(shards))), F.lit(0).alias("query"), "node", "times", "v")
+    asked = members.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    asked = asked.select(place(F.col("s")), F.lit(1).alias("query"), "node", "times", "v")
+    dealt = index.unionByName(asked).repartitionByRange(shards, "shard").sortWithinPartitions("shard", "query")
+    found = materialise(dealt.mapInArrow(_compare, "node bigint, n_links bigint, a bigint, b bigint"), "vector-links")
 
-    linked = found.where("vec_id IS NOT NULL").groupBy("vec_id").agg(F.sum("n_links").alias("n")).withColumnRenamed("vec_id", "id")
-    groups = components(found.where("a IS NOT NULL").select("a", "b")).withColumnRenamed("node", "id")
-    classes = members.join(linked, "id", "left").join(groups, "id", "left")
+    linked = found.where("node IS NOT NULL").groupBy("node").agg(F.sum("n_links").alias("n"))
+    groups = components(found.where("a IS NOT NULL").select("a", "b"))
+    classes = members.join(linked, "node", "left").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = classes.groupBy("component").agg(F.min("id").alias("component_id"))
+    classes = lookup(classes, smallest.withColumnRenamed("component", "__c"), F.col("component").cast("string"), "__c", pos="component")
     others = F.coalesce("n", F.lit(0)) + F.col("times") - 1
-    classes = classes.select("v", others.alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    classes = classes.select("v", others.alias("n_links"), "component_id")
     result = rows.join(classes, "v", "left")
     component = F.coalesce("component_id", "vec_id")
     kept = F.coalesce(F.col("vec_id") == component, F.lit(False))

@@ -261,7 +261,7 @@ class Family:
             out.append((batch.cls[hit][differ], np.maximum(old, new)[differ]))
             level.doc[at] = np.minimum(old, new)
             batch = batch.take(~hit)
-        self.levels.append(batch)
+        self.levels = [v for v in [*self.levels, batch] if len(v)]
         while len(self.levels) > 1 and len(self.levels[-2]) < 2 * len(self.levels[-1]):
             a, b = self.levels.pop(), self.levels.pop()
             self.levels.append(b.merged(a))
@@ -552,7 +552,7 @@ class WindowFamily:
             lost = hit & (old < batch.doc)
             out.append(batch.take(lost))
             batch = batch.take(~lost)
-        self.levels.append(batch)
+        self.levels = [v for v in [*self.levels, batch] if len(v)]
         while len(self.levels) > 1 and len(self.levels[-2]) < 2 * len(self.levels[-1]):
             a, b = self.levels.pop(), self.levels.pop()
             self.levels.append(b.merged(a))

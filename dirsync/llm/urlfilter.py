@@ -1,7 +1,7 @@
 """Judge urls by given rules, and by token combinations mined from labels.
 
 FP-growth finds the combinations of url tokens that go along with the bad label.
-Rules below the least support or confidence are dropped, and so is a rule that a
+Rules below the least support, number of rows, confidence or lift are dropped, and so is a rule that a
 shorter one with no less confidence makes needless.  The rest is an inverted
 index: each rule stands under the rarest token of its left side, a url looks up
 its tokens, and a rule that is found is compared in full.
@@ -15,9 +15,12 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dirsync.operators.lookups import lookup
 from dirsync.session import materialise
 
-MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.5
+#: Of a rule: share and number of the labelled urls that it fits and that are bad, share of the fitting ones that are bad, and
+#: how many times the share of bad urls among all that is.
+MIN_SUPPORT, MIN_ROWS, MIN_CONFIDENCE, MIN_LIFT = 0.002, 20, 0.5, 1.5
 #: (verdict, host, path); the longest that fits wins.
 GIVEN_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 BAD = "=bad"
@@ -62,11 +65,17 @@ def tokens(rest: Column) -> Column:
 
 
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """antecedent, confidence, support, key (its rarest token), from rows (tokens, bad)."""
+    """antecedent, confidence, support, key (its rarest token), from rows (tokens, bad).
+
+    A share alone would make rules of single urls where few are labelled, so a rule
+    also needs MIN_ROWS bad urls.
+    """
     items = F.when(F.col("bad"), F.array_append("tokens", BAD)).otherwise(F.col("tokens"))
     rows = materialise(labelled.where(F.size("tokens") > 0).select(items.alias("items")), "url-items")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
-    rules = model.associationRules.where(F.array_contains("consequent", BAD) & (F.size("antecedent") > 0))
+    support = min(1.0, max(min_support, MIN_ROWS / max(rows.count(), 1)))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(rows)
+    is_rule = F.array_contains("consequent", BAD) & (F.size("antecedent") > 0)
+    rules = model.associationRules.where(is_rule & (F.col("lift") >= MIN_LIFT) & (F.round(F.col("support") * rows.count()) >= MIN_ROWS))
     rules = rules.select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
     rules = materialise(rules, "url-rules")
     shorter = rules.select(F.col("antecedent").alias("less"), F.col("confidence").alias("of_less"))
@@ -105,7 +114,7 @@ def judge_urls(pages: DataFrame, labelled: DataFrame, given=GIVEN_RULES, id_col=
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
     hits = bad_urls(with_tokens(rows.select("url").where(F.col("url").isNotNull()).distinct()), rules)
     rest = after_scheme(F.col("url"))
-    judged = rows.join(hits, "url", "left").select("page_id", host_of(rest).alias("host"), path_of(rest).alias("path"), "confidence")
+    judged = lookup(rows, hits, F.col("url"), "url", pos="page_id").select("page_id", host_of(rest).alias("host"), path_of(rest).alias("path"), "confidence")
     rule, verdict = given_rule(F.col("host"), F.col("path"), given)
     mined = F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")
     return judged.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, mined).alias("verdict"), "confidence")

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
-from dirsync.llm import bpe, encoding, hnsw, hostrules, language, nearcopies, packing, planes, quality, queries, repeats, simhash, urlfilter
+from dirsync.llm import bpe, components, encoding, hnsw, hostrules, language, nearcopies, packing, planes, quality, queries, repeats, simhash, urlfilter
 from dirsync.llm.common import held_out
 from pyspark.sql import functions as F
 
@@ -286,6 +286,30 @@ def test_one_row_of_each_group_stays(spark, odd):
     assert len(left) == len(set(groups.values())) == len({groups[r.text] for r in left})
 
 
+def test_a_hub_is_split(spark):
+    """The links of a star's centre, which are all links, can be split over tasks."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        star = spark.range(1, 60_001, 1, 8).select(F.col("id").alias("u"), F.floor(F.col("id") / 100_000).alias("v"))
+        minima = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy("u").agg(F.min("v").alias("m"))
+        out = components._found(star, minima, "v").select("u", "m")
+        assert len(out.collect()) == 60_000
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    got = components.components(star, "u", "v").agg(F.count("*"), F.max("component")).first()
+    assert tuple(got) == (60_001, 0)
+
+
 def test_anchors_meet_all_close_prints():
     rng = np.random.default_rng(1)
     fp = rng.integers(0, 2**63, 300).astype(np.uint64)
@@ -320,6 +344,24 @@ def test_vectors_equal_brute_force(spark, sf_dir):
     assert hnsw.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_vectors_of_many_lengths_and_shared_ids(spark):
+    """More lengths than any bound, two vectors of one id, and thousands of nodes with planted pairs."""
+    rows = [(i, [1.0] + [0.0] * i) for i in range(1200)] + [(5000 + i, [2.0] + [0.0] * i) for i in range(1200)]
+    rows += [(9000, [1.0, 1.0]), (9000, [1.0, -1.0]), (9001, [1.0, 1.01]), (9002, [1.0, -1.01])]
+    got = [tuple(r) for r in hnsw.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), shards=2).collect()]
+    assert {(i, n, c) for i, n, c, _ in got if i < 9000} == {x for i in range(1200) for x in ((i, 1, i), (5000 + i, 1, i))}
+    assert sorted((i, n, c) for i, n, c, _ in got if i >= 9000) == [(9000, 1, 9000), (9000, 1, 9000), (9001, 1, 9000), (9002, 1, 9000)]
+    rng = np.random.default_rng(7)
+    v = rng.normal(size=(3000, 24))
+    v[2000:] = v[rng.integers(0, 2000, 1000)] + 0.05 * rng.normal(size=(1000, 24))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id bigint, embedding array<double>").repartition(4)
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    found = np.array([r.n_links for r in hnsw.near_duplicates(df, shards=2).orderBy("vec_id").collect()])
+    assert (found <= linked.sum(axis=1)).all() and found.sum() >= 0.99 * linked.sum() > 1500
+
+
 def test_language_held_out(spark, odd, empty):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     learned = language.train(docs, ~held_out(F.col("doc_id")))
@@ -396,6 +438,30 @@ def test_host_rules(spark, odd, empty):
     assert kept == {*range(100, 200), 300}
 
 
+def test_mined_rules_equal_enumerated_sets(spark):
+    from itertools import combinations
+
+    rnd = random.Random(8)
+    rows = []
+    for _ in range(900):
+        tokens = rnd.sample("abcdefg", rnd.randint(1, 4))
+        bad = ("a" in tokens and "b" in tokens) or ("c" in tokens and rnd.random() < 0.7) or rnd.random() < 0.1
+        rows.append((tokens, bad))
+    rows += [(["rare"], True)] * 19
+    got = {tuple(r.antecedent): (round(r.confidence, 9), r.key) for r in urlfilter.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()}
+    count, hits = Counter(), Counter()
+    for tokens, bad in rows:
+        for k in range(1, 5):
+            for some in combinations(sorted(tokens), k):
+                count[some] += 1
+                hits[some] += bad
+    base = sum(b for _, b in rows) / len(rows)
+    fits = {s: hits[s] / n for s, n in count.items() if hits[s] >= 20 and hits[s] >= 0.002 * len(rows) and hits[s] / n >= max(0.5, 1.5 * base)}
+    want = {s: c for s, c in fits.items() if not any(fits.get(tuple(x for x in s if x != t), -1) >= c for t in s)}
+    assert {s: c for s, (c, _) in got.items()} == {s: round(c, 9) for s, c in want.items()} and ("a", "b") in got and ("rare",) not in got
+    assert all(count[k,] == min(count[t,] for t in s) for s, (_, k) in got.items())
+
+
 def test_url_filter(spark):
     urls = ["http://a.net/x", "http://EXAMPLE.net/en/1", "http://b.example.com/de/2?q=1", "https://x.org/fr/", "net/", None, "http://net", "", "a://b://c.net/#x", "http://spam.com/ads/7"]
     pages = spark.createDataFrame([(i, u, "k") for i, u in enumerate(urls)] + [(3, urls[3], "k")], "page_id bigint, url string, key string")
