@@ -20,7 +20,7 @@ open window its MATCH bytes, which is the match length that counts.  A match is
 decided on these bytes, first within the task that has the texts, then, for the
 one document of each window that is left, by key for all tasks.
 
-A class is 64 bits of hashes under the 64 of its key; two contexts of the same
+A class is 64 bits of hashes under the 48 of its key; two contexts of the same
 GRAM bytes that differ would have to agree in them to be taken for equal.
 """
 
@@ -57,7 +57,7 @@ SIDE = (MATCH - GRAM) // 2
 REACH = 2 * MATCH - GRAM
 #: The windows that have the bytes before the anchor, and those that have the bytes behind it, by how far ahead of it they start.
 _BEFORE, _AFTER = np.arange(RUN) >= SIDE, np.arange(RUN) <= SIDE
-_REST, _TWELVE = np.uint64((1 << 40) - 1), np.uint64((1 << 12) - 1)
+_REST, _TWELVE, _KEY = np.uint64((1 << 40) - 1), np.uint64((1 << 12) - 1), np.uint64((1 << 48) - 1)
 
 u64 = np.uint64
 _M1, _M2, _M3 = u64(0x9E3779B97F4A7C15), u64(0xBF58476D1CE4E5B9), u64(0x94D049BB133111EB)
@@ -139,7 +139,7 @@ class Suffixes:
         unit = np.searchsorted(self.ends, at, side="right")
         fits = at + GRAM <= self.ends[unit]
         self.at, self.unit = at[fits], unit[fits]
-        self.key = gram[self.at]
+        self.key = gram[self.at] & _KEY
         self.left = np.minimum(self.at - self.starts[self.unit], MATCH - GRAM)
         self.right = np.minimum(self.ends[self.unit] - self.at, MATCH)
         shape = _mix((self.left * 64 + self.right).astype(u64) * _M2 + u64(3))
