@@ -6,6 +6,8 @@ aggregates, windows where Spark joins.
 
 from __future__ import annotations
 
+from dirsync.operators.entities import REFERENCE, code_page_texts, entity_names
+
 from .fixtures import FIXTURES, duck_sql, with_clause
 from .settings import ASSET, NOW, RUN, SALES, SYNC, YEAR
 
@@ -482,11 +484,8 @@ WHERE rn = 1
     "src_transactions": f"SELECT * FROM fx_sales WHERE status = 'closed' AND closing_date BETWEEN '{YEAR}-01-01' AND '{YEAR}-12-31'",
     "src_state": "SELECT * FROM fx_geocache",
     "sink_directory": f"SELECT {DIR_TEXT} FROM o_merged",
-    "sink_reports": f"""
-SELECT report, {text(NOW_TEXT)} AS generated, false AS dry_run, description, n AS count FROM (
-  SELECT 'no-region' AS report, 'Rows without a region.' AS description, (SELECT count(*) FROM o_flags WHERE flag = 'NO_REGION') AS n
-  UNION ALL SELECT 'flagged', 'Rows to review.', (SELECT count(*) FROM o_flags WHERE flag <> 'NO_REGION')
-  UNION ALL SELECT 'no-photo', 'Rows without a photo.', (SELECT count(*) FROM o_dir WHERE photo = '' AND NOT coalesce(hidden, false)))
+    "sink_state": """
+SELECT query, lat + CASE WHEN length(query) % 3 = 0 THEN 1 ELSE 0 END AS lat, lng FROM fx_geocache WHERE length(query) % 5 <> 0
 """,
     "sink_sales": "SELECT * FROM o_public",
     "fmt_phone": f"SELECT pos, phone, {phone_of('phone')} AS pretty FROM fx_roster_a",
@@ -775,6 +774,50 @@ SELECT url, name, CASE WHEN bad IS NULL THEN src END AS photo_url, bad AS reason
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, kind, {N} AS n FROM fx_lifecycle GROUP BY 1, 2
 """,
 }
+ORACLES["rpt_no_page_merged"] = ORACLES["rpt_no_page"].replace("FROM o_dir", "FROM o_merged")
+
+# Each report of a run: its description and the SQL of its rows.
+_REPORTS = {
+    "summary": ("Counts of the run.", "SELECT 1"),
+    "live": ("All rows of the directory.", ORACLES["rpt_live"]),
+    "no-region": ("Rows excluded for want of a region.", ORACLES["rpt_no_region"]),
+    "role-excluded": ("Rows excluded for their role.", ORACLES["rpt_role_excluded"]),
+    "role-counts": ("Excluded rows per role.", f"SELECT DISTINCT role FROM ({ORACLES['rpt_role_excluded']})"),
+    "region-unmatched": ("Rows of the second region nobody matched.", ORACLES["rpt_region_unmatched"]),
+    "no-photo": ("Visible rows without a photo.", ORACLES["rpt_no_photo"]),
+    "no-page": ("Visible rows of the main region without a page.", ORACLES["rpt_no_page_merged"]),
+    "flagged": ("Junk, duplicate and incomplete rows.", ORACLES["rpt_flagged"]),
+    "events": ("New, soft-deleted, purged and returned rows.", "SELECT kind FROM o_events"),
+}
+ORACLES["sink_reports"] = " UNION ALL ".join(
+    f"SELECT {text(name)} AS report, {text(NOW_TEXT)} AS generated, false AS dry_run, {text(about)} AS description, (SELECT count(*) FROM ({rows})) AS count"
+    for name, (about, rows) in _REPORTS.items()
+)
+
+
+def _values(pairs) -> str:
+    return ", ".join(f"({n if isinstance(n, int) else text(n)}, {text(t)})" for n, t in pairs)
+
+
+_NUMBER = "CASE WHEN length(sig) > 8 THEN 1114112 WHEN lower(substr(ref, 2, 1)) = 'x' THEN ('0x0' || sig)::BIGINT ELSE ('0' || sig)::BIGINT END"
+ORACLES["html_text"] = rf"""
+WITH e AS (SELECT name, t AS value FROM (VALUES {_values(entity_names().items())}) v(name, t)),
+g AS (SELECT n, t AS value FROM (VALUES {_values(code_page_texts().items())}) v(n, t)),
+s AS (SELECT page_id, string_split(html, '&') AS parts FROM pages),
+p AS (SELECT page_id, i, parts[i] AS part, CASE WHEN i > 1 THEN regexp_extract(parts[i], '{REFERENCE}', 1) ELSE '' END AS ref
+  FROM (SELECT page_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM s)),
+m AS (SELECT page_id, i, arg_max(name, length(name)) AS name, arg_max(value, length(name)) AS value
+  FROM p JOIN e ON substr(p.ref, 1, 2) = substr(e.name, 1, 2) AND starts_with(p.ref, e.name) GROUP BY page_id, i),
+c AS (SELECT *, {_NUMBER} AS code FROM (SELECT page_id, i, ref, ltrim(regexp_extract(ref, '^#[xX]?([0-9a-fA-F]+)', 1), '0') AS sig FROM p WHERE ref LIKE '#%')),
+d AS (SELECT page_id, i, CASE WHEN code = 0 OR code BETWEEN 55296 AND 57343 OR code > 1114111 THEN chr(65533) WHEN g.value IS NOT NULL THEN g.value
+  WHEN code BETWEEN 1 AND 8 OR code = 11 OR code BETWEEN 14 AND 31 OR code = 127 OR code BETWEEN 64976 AND 65007 OR code % 65536 >= 65534 THEN ''
+  ELSE chr(code::INT) END AS value FROM c LEFT JOIN g ON c.code = g.n),
+t AS (SELECT p.page_id, p.i, CASE WHEN p.i = 1 THEN part WHEN d.value IS NOT NULL THEN d.value || substr(part, length(ref) + 1)
+  WHEN m.name IS NOT NULL THEN m.value || substr(part, length(m.name) + 1) ELSE '&' || part END AS t
+  FROM p LEFT JOIN m ON p.page_id = m.page_id AND p.i = m.i LEFT JOIN d ON p.page_id = d.page_id AND p.i = d.i),
+w AS (SELECT page_id, string_agg(t, '' ORDER BY i) AS t FROM t GROUP BY page_id)
+SELECT page_id, length(t) AS n_chars, sha256(t) AS text_sha256 FROM pages LEFT JOIN w USING (page_id)
+"""
 POOL["o_full"] = """
 SELECT l.*, i.incoming_photo, i.incoming_photo_real FROM o_merged l
 LEFT JOIN o_valid i ON l.seq = 0 AND i.pos = l.pos

@@ -27,11 +27,13 @@ from dirsync.operators import rules as RU
 from dirsync.operators import sales as S
 from dirsync.operators import summaries as SU
 from dirsync.operators.caches import cache_upsert as upsert
+from dirsync.operators.entities import decode_entities
 from dirsync.operators.lookups import lookup_default
+from dirsync.plans.sync import plan_sync, sync_reports
 from dirsync.schemas import GEOCODE_CACHE, TEMPORARY_COLUMNS
 from dirsync.session import scratch_path
 from dirsync.sources import load_directory, load_rosters, load_sales, load_state
-from dirsync.sources import write_directory, write_reports, write_sales
+from dirsync.sources import current, publish_directory, read_state, write_reports, write_sales, write_state
 from dirsync.streaming.events import event_counts, stream_event_counts, write_event_counts
 from dirsync.streaming.snapshots import announce_snapshot, latest_directory, stream_snapshots
 
@@ -179,19 +181,28 @@ def src_state(spark, d):
 @query
 def sink_directory(spark, d):
     path = scratch_path(spark, "published") + ".parquet"
-    write_directory(merged(spark, d), path)
-    return flat(spark.read.parquet(path).drop("pos"))
+    publish_directory(merged(spark, d), path)
+    return flat(spark.read.parquet(current(spark, path)).drop("pos"))
+
+
+@query
+def sink_state(spark, d):
+    """A keyed table through three writes: all places, some looked up again, some removed."""
+    path = scratch_path(spark, "geocode-state")
+    cache = fx.load(spark, d, "fx_geocache")
+    write_state(cache, path, "query")
+    moved = cache.where(F.length("query") % 3 == 0).withColumn("lat", F.col("lat") + 1.0)
+    older = moved.withColumn("lat", F.lit(0.0))
+    write_state(moved.withColumn("n", F.lit(2)).unionByName(older.withColumn("n", F.lit(1))), path, "query", order="n")
+    write_state(cache.withColumn("gone", F.lit(True)).where(F.length("query") % 5 == 0), path, "query", gone="gone")
+    return read_state(spark, path, "query", GEOCODE_CACHE)
 
 
 @query
 def sink_reports(spark, d):
-    prev, found = previous(spark, d), flags(spark, d)
-    reports = {
-        "no-region": ("Rows without a region.", R.rpt_no_region(found)),
-        "flagged": ("Rows to review.", R.rpt_flagged(found)),
-        "no-photo": ("Rows without a photo.", R.rpt_no_photo(prev)),
-    }
-    return write_reports(reports, scratch_path(spark, "reports"), NOW)
+    """All reports of one run, from one ledger."""
+    run = plan_sync(roster(spark, d), previous(spark, d), SYNC, NOW)
+    return write_reports(sync_reports(run, SYNC), scratch_path(spark, "reports"), NOW)
 
 
 @query
@@ -819,6 +830,11 @@ def rpt_no_page(spark, d):
     return flat(R.rpt_no_page(previous(spark, d), SYNC))
 
 
+@query
+def rpt_no_page_merged(spark, d):
+    return flat(R.rpt_no_page(merged(spark, d), SYNC))
+
+
 @query
 def rpt_flagged(spark, d):
     return flat(R.rpt_flagged(flags(spark, d)))
@@ -857,10 +873,10 @@ def page_extract_profiles(spark, d):
 
 @query
 def html_text(spark, d):
-    """Headline of every page with its entities decoded."""
-    pages = spark.read.parquet(f"{d}/pages.parquet")
-    head = F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1)
-    return pages.select("page_id", head.alias("raw")).select("page_id", fn.html_text(F.col("raw")).alias("text"))
+    """Every whole page with its entities decoded, by length and hash."""
+    pages = spark.read.parquet(f"{d}/pages.parquet").select("page_id", "html")
+    decoded = decode_entities(pages, "html", "text")
+    return decoded.select("page_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 
 def _scraped(spark, d):

@@ -5,12 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A configured map of up to this many entries becomes a literal in the plan; a
-# larger one, up to the second bound, a broadcast table; beyond it, a plain join.
-LITERAL_ENTRIES = 64
-BROADCAST_ENTRIES = 100_000
-
-
 def lookup(left: DataFrame, right: DataFrame, key: Column, right_key: str, pos: str = "pos") -> DataFrame:
     """Left join of every row to a table that is unique on ``right_key``.
 
@@ -45,19 +39,14 @@ def settled(df: DataFrame, pos: str = "pos") -> DataFrame:
 
 
 def map_lookup(df: DataFrame, key: str, mapping: dict[str, str] | DataFrame, out: str) -> DataFrame:
-    """Add ``out``: the mapped value of a key, or null."""
-    if isinstance(mapping, DataFrame):
-        table = mapping.toDF(key, out)
-        return df.join(table, key, "left")
-    if not mapping:
-        return df.withColumn(out, F.lit(None).cast("string"))
-    if len(mapping) <= LITERAL_ENTRIES:
-        flat = [F.lit(x) for pair in mapping.items() for x in pair]
-        return df.withColumn(out, F.element_at(F.create_map(*flat), F.col(key)))
-    table = df.sparkSession.createDataFrame(list(mapping.items()), f"{key} string, {out} string")
-    if len(mapping) <= BROADCAST_ENTRIES:
-        table = F.broadcast(table)
-    return df.join(table, key, "left")
+    """Add ``out``: the mapped value of a key, or null.
+
+    A map is a table like any other: one join, which Spark plans by its size.
+    """
+    if not isinstance(mapping, DataFrame):
+        mapping = df.sparkSession.createDataFrame(list(mapping.items()), f"{key} string, {out} string")
+    table = mapping.toDF("__mapped", out)
+    return df.join(table, F.col(key) == F.col("__mapped"), "left").drop("__mapped")
 
 
 def lookup_default(df: DataFrame, key: str, mapping: dict[str, str] | DataFrame, out: str, default: str = "") -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..config import SyncConfig
 from ..operators import lifecycle, match, reports, roster, rules, summaries
 from ..session import materialise
-from ..sources import write_directory, write_reports
+from ..sources import publish_directory, write_reports
 
 
 class PublishRefused(RuntimeError):
@@ -105,6 +105,6 @@ def run_sync(
     run = plan_sync(raw, previous, cfg, now)
     if not dry_run:
         run = replace(run, flags=materialise(run.flags, "flags"))
-        write_directory(run.directory, f"{out}/directory.{fmt}", fmt)
+        publish_directory(run.directory, f"{out}/directory.{fmt}", fmt)
         write_reports(sync_reports(run, cfg), f"{out}/reports", now)
     return run

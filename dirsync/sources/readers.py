@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..schemas import DIRECTORY, DIRECTORY_FIELDS, ROSTER_FIELDS, ROSTER_FLAGS, TRANSACTIONS
+from .versions import current
 
 FORMATS = ("jsonl", "json", "parquet")
 # Positions set aside for each account.
@@ -48,10 +49,11 @@ def _flag(c: Column) -> Column:
 def _with_pos(df: DataFrame) -> DataFrame:
     """``pos`` as the source gives it if it gives one to every row, else the reading order of all rows.
 
-    Rows are told apart by it, so the two are never mixed.
+    Rows are told apart by it, so the two are never mixed.  Given positions are
+    checked; those made here cannot repeat.
     """
     if "pos" in df.columns and df.where("pos is null").isEmpty():
-        return df
+        return _told_apart(df)
     return df.withColumn("pos", F.monotonically_increasing_id())
 
 
@@ -82,7 +84,7 @@ def _read_roster(spark: SparkSession, path: str, fmt: str | None) -> DataFrame:
         ],
         pos.alias("pos"),
     )
-    return _told_apart(_with_pos(rows))
+    return _with_pos(rows)
 
 
 def load_rosters(
@@ -132,9 +134,11 @@ def drop_repeats(directory: DataFrame) -> DataFrame:
 def load_directory(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """Previous directory without repeated rows.
 
-    A directory that cannot be read is an error, never an empty directory.
+    A directory that cannot be read is an error, never an empty directory.  Of a
+    path that was published in versions the newest is read.
     """
     fmt = fmt or format_of(path)
+    path = current(spark, path)
     if fmt == "parquet":
         rows = spark.read.parquet(path)
         rows = rows.select(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import stamp
 from ..operators.ordering import sort_name
 from ..schemas import DIRECTORY_FIELDS, TEMPORARY_COLUMNS
+from .versions import publish
 
 
 def published(directory: DataFrame) -> DataFrame:
@@ -36,6 +37,15 @@ def write_directory(directory: DataFrame, path: str, fmt: str = "parquet") -> No
     lines.write.mode("overwrite").text(path)
 
 
+def publish_directory(directory: DataFrame, path: str, fmt: str = "parquet") -> str:
+    """Write a new version of the directory, then let ``path`` mean it.
+
+    Readers see the old version until the new one is whole, and if the write fails
+    they keep it.  Returns the folder of the version.
+    """
+    return publish(directory.sparkSession, path, lambda folder: write_directory(directory, folder, fmt))
+
+
 def write_reports(
     reports: dict[str, tuple[str, DataFrame]],
     path: str,

@@ -24,16 +24,7 @@ def test_query(spark, con, sf_dir, name):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
-    assert set(CATALOG) - set(oracle_texts()) == {"html_text", "stream_snapshots"}
-
-
-def test_html_text(spark, sf_dir):
-    import html
-
-    raw = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
-    want = {r.page_id: html.unescape(r.html.split("<h1>")[1].split("</h1>")[0]) for r in raw}
-    got = {r.page_id: r.text for r in QUERIES["html_text"](spark, sf_dir).collect()}
-    assert got == want
+    assert set(CATALOG) - set(oracle_texts()) == {"stream_snapshots"}
 
 
 def test_entry(spark):

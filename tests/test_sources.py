@@ -2,11 +2,13 @@ import json
 from datetime import date, datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from dirsync.operators.roster import merge_accounts, parse_roster
 from dirsync import SyncConfig
 from dirsync.schemas import DIRECTORY, GEOCODE_CACHE
-from dirsync.sources import load_directory, load_rosters, load_sales, load_state, write_directory, write_reports
+from dirsync.schemas import DIRECTORY_FIELDS
+from dirsync.sources import load_directory, load_rosters, load_sales, load_state, publish_directory, read_state, versions, write_directory, write_reports, write_state
 
 RAW = [
     {"id": 7, "email": "A@x ", "first_name": "Ann", "last_name": "Lee", "Region": "North", "active": None, "odd": [1]},
@@ -110,3 +112,55 @@ def test_positions_are_the_files_or_the_order(spark, tmp_path):
     assert [(r.id, r.pos) for r in given.orderBy("pos").collect()] == [("2", 4), ("1", 7)]
     with pytest.raises(ValueError, match="share a position"):
         load_rosters(spark, {"main": lines("twice", ['{"id": "1", "pos": 4}', '{"id": "2", "pos": 4}'])})
+
+
+def test_directory_positions_are_checked(spark, tmp_path):
+    path = tmp_path / "d.jsonl"
+    path.write_text('{"name": "a", "pos": 4}\n{"name": "b", "pos": 4}')
+    with pytest.raises(ValueError, match="share a position"):
+        load_directory(spark, str(path))
+
+
+def test_state_keeps_the_newest_row_of_each_key(spark, tmp_path):
+    path, schema = str(tmp_path / "state"), "k string, v long"
+    table = lambda rows: spark.createDataFrame(rows, schema)
+    read = lambda: dict(read_state(spark, path, "k", table([]).schema).collect())
+    assert read() == {}
+    with pytest.raises(ValueError, match="repeated"):
+        write_state(table([("a", 1), ("a", 2)]), path, "k")
+    with pytest.raises(ValueError, match="without k"):
+        write_state(table([(None, 1)]), path, "k")
+    write_state(spark.createDataFrame([("a", 1, 1), ("a", 2, 3), ("a", 3, 2), ("b", 4, 1)], "k string, v long, at long"), path, "k", order="at")
+    assert read() == {"a": 2, "b": 4}
+    want = {"a": 2, "b": 4}
+    for n in range(12):  # over two compactions
+        if n % 5 == 3:
+            write_state(spark.createDataFrame([("b", None, True), ("never", 1, True)], "k string, v long, gone boolean"), path, "k", gone="gone")
+            want.pop("b", None)
+        else:
+            write_state(table([("b", n), (f"k{n}", n)]), path, "k")
+            want |= {"b": n, f"k{n}": n}
+        assert read() == want
+    kinds = [e["kind"] for e in versions.entries(spark, path)]
+    assert kinds.count("base") == 2 and kinds.count("changes") == 12
+
+
+def test_a_failed_write_leaves_the_old_directory(spark, tmp_path):
+    path = str(tmp_path / "directory.parquet")
+    first = load_directory(spark, _one(tmp_path, "1"))
+    publish_directory(first, path)
+    bad = first.withColumn("email", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        publish_directory(bad, path)
+    assert [r.id for r in load_directory(spark, path).collect()] == ["1"]
+    publish_directory(load_directory(spark, _one(tmp_path, "2")), path)
+    assert [r.id for r in load_directory(spark, path).collect()] == ["2"]
+    folder = versions.current(spark, path)
+    with pytest.raises(Exception, match="(?i)already exists"):
+        versions._commit(spark, path, versions.entries(spark, path)[-1]["version"], "base", folder)
+
+
+def _one(tmp_path, n):
+    lines = tmp_path / f"one{n}.jsonl"
+    lines.write_text(f'{{"name": "n", "{DIRECTORY_FIELDS["id"]}": "{n}"}}')
+    return str(lines)
