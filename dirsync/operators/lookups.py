@@ -23,6 +23,30 @@ def lookup(left: DataFrame, right: DataFrame, key: Column, right_key: str, pos:
     return keyed.join(table, "__key", "left").drop("__key")
 
 
+#: Bits of the filter that ``likely_in`` builds: 2 MB, whatever the tables' sizes.
+FILTER_BITS = 1 << 24
+
+
+def likely_in(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
+    """The rows whose key is wanted, and perhaps some others.
+
+    A Bloom filter of fixed size is built from the wanted keys and sent to all
+    tasks, so wide rows can be left out before any work on them and without moving
+    them.  It leaves out none that is wanted.
+    """
+
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+    bits = wanted.where(F.col(wanted_key).isNotNull()).select(place(wanted_key).alias("__at"))
+    bits = bits.groupBy(F.bitmap_bucket_number("__at").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("__at")).alias("__bits"))
+    at = F.bitmap_bit_position(place(key))
+    byte = F.conv(F.hex(F.substr("__bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = rows.withColumn("__bucket", F.bitmap_bucket_number(place(key))).join(F.broadcast(bits), "__bucket")
+    found = held.where(F.call_function("getbit", byte, F.pmod(at, F.lit(8)).cast("int")) == 1)
+    return found.drop("__bucket", "__bits")
+
+
 def lookup_row(left: DataFrame, right: DataFrame, row: str, right_row: str, pos: str = "pos") -> DataFrame:
     """As ``lookup``, for non-negative row numbers."""
     keyed = left.withColumn("__row", F.coalesce(F.col(row), -1 - F.col(pos)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import AssetConfig
 from ..functions import age_seconds, html_text, is_trusted, stamp, strip, truthy
 from ..functions.text import WHITESPACE
-from .lookups import lookup
+from .lookups import likely_in, lookup
 from .ordering import first_rows
 
 # An image tag with its source before or after its alternative text.
@@ -139,13 +139,15 @@ def scrape_apply(
     """One event per queued row.
 
     Fresh cache entries answer first.  Of the rows that ask for the same page,
-    the first reads it and the others find its result in the cache.  Pages are
-    reduced to a short url and text before any join; a page is joined once.
+    the first reads it and the others find its result in the cache.  Pages that
+    nobody asks for are left out before they are parsed; the others are reduced to
+    a short url and text before they move, and a page is joined once.
     """
     asked = scrape_cache_lookup(queue, cache, cfg, now)
     live = asked.where(~F.col("cache_state").startswith("fresh"))
     firsts = live.groupBy("page_url").agg(F.min("pos").alias("__first"), F.min_by("name", "pos").alias("__asker"))
-    texts = read_pages(pages.select(F.col("url").alias("page_url"), "html"), cfg)
+    fetched = likely_in(pages.select(F.col("url").alias("page_url"), "html"), "page_url", firsts, "page_url")
+    texts = read_pages(fetched, cfg)
     outcome = firsts.join(texts, "page_url").select(
         F.col("page_url").alias("__page"),
         "__first",

@@ -162,10 +162,8 @@ def dup_names(valid: DataFrame, cfg: SyncConfig) -> DataFrame:
     group's e-mails are the rows of ``dup_members`` with that key.  A flag shows
     the name of the first row with that e-mail.
     """
-    members = dup_members(valid)
-    named = valid.join(members.select("email").distinct(), "email", "left_semi")
-    names = named.groupBy("email").agg(F.min_by("name", "pos").alias("__name"))
-    return members.join(names, "email").select(
+    names = valid.groupBy(F.col("email").alias("__email")).agg(F.min_by("name", "pos").alias("__name"))
+    return lookup(dup_members(valid), names, F.col("email"), "__email").where("email is not null").select(
         F.col("__name").alias("name"),
         "email",
         F.lit(FLAG_DUPLICATE).alias("flag"),

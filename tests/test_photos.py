@@ -11,6 +11,7 @@ from dirsync.operators.caches import cache_upsert
 from dirsync.plans import run_photos, run_sales, run_scrape
 from dirsync.config import SalesConfig
 from dirsync.schemas import ASSET_RETRIES, GEOCODE_CACHE, SCRAPE_CACHE, TRANSACTIONS, URL_CHECKS
+from dirsync.sources import load_directory, read_state
 from pyspark.sql import functions as F
 
 NOW = datetime(2024, 1, 31, tzinfo=timezone.utc)
@@ -118,6 +119,28 @@ def test_photo_run(spark):
     assert run.summary.first().acquired_a == 1 and run.retries.collect()[0].key == "2"
 
 
+def test_photo_runs_in_a_row(spark, tmp_path):
+    """A run publishes directory and retries for the next one; a dry run publishes nothing."""
+    attempt = "key string, ok boolean, reason string, source_url string"
+    none, out = spark.createDataFrame([], attempt), str(tmp_path / "out")
+    given = rows(spark, REAL, dict(photo="")).withColumn("pos", F.col("pos"))
+    failed = spark.createDataFrame([("0", False, "download", None), ("1", False, "download", None)], attempt)
+    start = spark.createDataFrame([], ASSET_RETRIES)
+    run_photos(given, keys(spark), failed, none, start, 1, NOW, CFG, out=out, dry_run=True)
+    assert not (tmp_path / "out").exists() and read_state(spark, f"{out}/retries", "key", ASSET_RETRIES).count() == 0
+    run_photos(given, keys(spark), failed, none, start, 1, NOW, CFG, out=out)
+    state = read_state(spark, f"{out}/retries", "key", ASSET_RETRIES)
+    assert {r.key: r.failure_count for r in state.collect()} == {"0": 1, "1": 1}
+    won = spark.createDataFrame([("0", True, "", "http://up/1")], attempt)
+    run_photos(given, keys(spark), won, none, state, 3, NOW, CFG, out=out)
+    state = read_state(spark, f"{out}/retries", "key", ASSET_RETRIES)
+    assert {r.key: r.failure_count for r in state.collect()} == {"1": 2}
+    photos = {r.id: r.photo for r in load_directory(spark, f"{out}/directory.parquet").collect()}
+    assert photos["0"] and not photos["1"]
+    heads = {r.report: r["count"] for r in spark.read.json(f"{out}/reports/envelopes/*").collect()}
+    assert set(heads) == {"photo-events", "photo-skipped", "orphans", "photo-summary"}
+
+
 CARD = '<b><img src="https://cdn.trusted.example/logo" alt="z"><DIV  class="agent-card"><p>'
 PAGES = [
     ("", "Ann Lee", None, "empty_html"),
@@ -157,6 +180,8 @@ def test_scrape_run(spark):
     cache = spark.createDataFrame(
         [("fp", "http://c", "2024-01-25T00:00:00Z", "n", None), ("fn", None, "2024-01-25T00:00:00Z", "n", None),
          ("st", "http://c", "2024-01-24T00:00:00Z", "n", None)], SCRAPE_CACHE)
+    fresh = run_scrape(given, pages, cache, NOW, CFG, use_cache=False)
+    assert {r.pos: r.status for r in fresh.events.collect()}[5] == "failed"
     run = run_scrape(given, pages, cache, NOW, CFG, force="FORCED")
     got = {r.pos: (r.status, r.photo_url, r.reason) for r in run.events.collect()}
     miss = "alt_name_mismatch:expected='x',got='zzz'"

@@ -9,7 +9,8 @@ from catalog.settings import ASSET, NOW
 from dirsync import SyncConfig
 from dirsync.operators import match as M
 from dirsync.operators import pages as P
-from dirsync.operators.lookups import lookup
+from dirsync.operators import rules as RU
+from dirsync.operators.lookups import likely_in, lookup
 
 WRITES = ("stream_", "sink_")
 
@@ -95,3 +96,26 @@ def test_year_filter_reaches_the_scan(spark, sf_dir):
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     text = df._jdf.queryExecution().explainString(mode)
     assert "GreaterThanOrEqual(closing_date,1998-01-01)" in text and "EqualTo(status,closed)" in text
+
+
+def test_only_wanted_pages_are_parsed(spark, sf_dir):
+    """The filter of wanted pages lies below the Python step, and loses none of them."""
+    df = Q.QUERIES["scrape_apply"](spark, sf_dir)
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    python = min(i for i, line in enumerate(lines) if "ArrowEvalPython" in line)
+    assert any("bitmap" in line or "__bits" in line for line in lines[python:])
+    rows = spark.range(0, 40_000, 1, 8).select(F.concat(F.lit("u"), F.col("id")).alias("url"), F.lit("x" * 50).alias("html"))
+    wanted = rows.where("hash(url) % 40 = 0").select("url")
+    found = likely_in(rows, "url", wanted.unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS url")), "url")
+    assert found.columns == ["url", "html"] and found.join(wanted, "url").count() == wanted.count() > 0
+    assert found.count() < wanted.count() + 100 and likely_in(rows, "url", wanted.limit(0), "url").count() == 0
+
+
+def test_duplicate_flags_split_a_hot_email(skewed):
+    rows = hot(skewed).select("pos", F.coalesce(F.lit(None), F.when(F.col("key") == "hot", "h@x").otherwise(F.concat("load", F.lit("@x")))).alias("email"),
+                              F.concat(F.lit("name"), F.translate(F.substring("load", 1, 4), "0123456789", "ghijklmnop")).alias("name"))
+    out = RU.dup_names(rows, SyncConfig())
+    assert out.count() > 30_000
+    out = RU.dup_names(rows, SyncConfig())
+    out.collect()
+    assert "skew=true" in plan(out)
