@@ -170,6 +170,6 @@ def _whole(text: str) -> list[str]:
 
 
 @lru_cache(maxsize=2)
-def library_encoder(path: str) -> LibraryEncoder:
+def library_encoder(path: str, kept: int = KEPT_SEGMENTS) -> LibraryEncoder:
     """One encoder for each worker and file; its segments outlive a task."""
-    return LibraryEncoder(path)
+    return LibraryEncoder(path, kept)

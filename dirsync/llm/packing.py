@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import released, small_batches, text_bytes
-from .encoding import TEXT_AT_ONCE, library_encoder
+from .encoding import KEPT_SEGMENTS, TEXT_AT_ONCE, library_encoder
 
 WINDOW = 2048
 #: Longest piece of a document's last, partial window.
@@ -76,19 +76,22 @@ _PIECE = pa.schema(
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW, piece: int = PIECE, id_col="doc_id", text_col="text"
-) -> DataFrame:
+    docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW, piece: int = PIECE, id_col="doc_id", text_col="text",
+    together: int = TEXT_AT_ONCE, kept: int = KEPT_SEGMENTS,
+) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian u32), doc_tokens, sequence_id, offset, padding.
 
     Each task packs what it reads, ``GROUP`` pieces at a time, so nothing is
     shuffled and memory is bounded; sequence ids carry the number of the task.
     Null and empty texts are one end id; rows that share a doc_id are packed each;
     an empty table gives no rows; other columns are not read.  ``padding`` fills
-    the sequence to ``window``, unless its length is a power of two.
+    the sequence to ``window``, unless its length is a power of two.  A worker
+    encodes ``together`` bytes at once and keeps the ids of ``kept`` segments; fewer
+    of both need less memory and more time, and give the same rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(tokenizer)
+        encoder = library_encoder(tokenizer, kept)
         number = TaskContext.get().partitionId() << 40
         waiting: list[tuple] = []
 
@@ -110,7 +113,7 @@ def pack(
             number += len(used)
             return rows
 
-        for batch in small_batches(batches, 1, TEXT_AT_ONCE):
+        for batch in small_batches(batches, 1, together):
             names = batch.column(0).to_pylist()
             ids, sizes = encoder.encode(batch.column(1).cast(pa.string()).to_pylist())
             at, out = 0, []
