@@ -21,6 +21,8 @@ from .common import release_memory, text_bytes
 #: Bounds of the sample: documents drawn per language, and bytes of its dictionary.
 SAMPLE_DOCUMENTS = 200
 DICTIONARY_BYTES = 112 * 1024
+#: Parts of a language that are ranked apart before their first ids are ranked together.
+STRATA = 16
 #: A longer document gives the dictionary an even cut of this many bytes.
 SAMPLE_BYTES = 4096
 LEVEL = 6
@@ -37,21 +39,21 @@ def train(docs: DataFrame, use: Column | None = None, id_col="doc_id", text_col=
     """Language to dictionary, from rows with a label and a text for which ``use`` holds.
 
     Of each language the ``SAMPLE_DOCUMENTS`` ids that come first by their hash are
-    drawn: only ids and labels are ranked, within each task before any shuffle.  Of
-    an id's texts in a language the one with the smallest hash is taken, so the
-    driver gets at most SAMPLE_DOCUMENTS texts a language.
+    drawn: first in each of ``STRATA`` parts of a language, then of what these keep,
+    so that the last ranking reads at most STRATA * SAMPLE_DOCUMENTS ids of a language,
+    however many rows and tasks there are.  Of an id's texts in a language the one with
+    the smallest hash is taken, so the driver gets at most SAMPLE_DOCUMENTS texts a
+    language.  Each distinct label is a language: a dictionary is made for all of them,
+    and all go to every worker, so labels must be few.
     """
     rows = docs if use is None else docs.where(use)
     rows = rows.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(label_col).alias("l")).dropna()
-    ordered = Window.partitionBy("l").orderBy(F.xxhash64("i"), "i")
-    drawn = rows.select("l", "i").distinct().withColumn("n", F.row_number().over(ordered)).where(F.col("n") <= SAMPLE_DOCUMENTS)
-    ids: dict[str, list] = {}
-    for r in drawn.select("l", "i").collect():
-        ids.setdefault(r["l"], []).append(r["i"])
-    chosen = F.lit(False)
-    for lang, own in ids.items():
-        chosen = chosen | ((F.col("l") == lang) & F.col("i").isin(own))
-    taken = rows.where(chosen).select("l", "i", text_bytes(F.col("t")).alias("t"))
+    drawn = rows.select("l", "i").distinct().withColumn("part", F.pmod(F.xxhash64("i", F.lit("part")), F.lit(STRATA)))
+    for group in (["l", "part"], ["l"]):
+        ordered = Window.partitionBy(*group).orderBy(F.xxhash64("i"), "i")
+        drawn = drawn.withColumn("n", F.row_number().over(ordered)).where(F.col("n") <= SAMPLE_DOCUMENTS).drop("n")
+    # at most SAMPLE_DOCUMENTS rows a language
+    taken = rows.join(F.broadcast(drawn.select("l", "i")), ["l", "i"]).select("l", "i", text_bytes(F.col("t")).alias("t"))
     n = F.octet_length("t")
     at = F.when(n > SAMPLE_BYTES, F.pmod(F.xxhash64("i"), n - SAMPLE_BYTES) + 1).otherwise(1)
     cut = taken.select("l", "i", F.xxhash64("t").alias("h"), F.substring("t", at.cast("int"), F.lit(SAMPLE_BYTES)).alias("t"))

@@ -1,6 +1,7 @@
 """Operators against brute force, the library, or held-out labels, and on awkward tables."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
@@ -8,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+import zstandard
 from dirsync.llm import bpe, components, encoding, hnsw, hostrules, language, nearcopies, packing, planes, quality, queries, repeats, simhash, urlfilter
 from dirsync.llm.common import held_out
 from pyspark.sql import functions as F
@@ -476,3 +478,50 @@ def test_url_filter(spark):
     assert urlfilter.judge_urls(pages, labelled).count() == len(urls) + 1
     assert {r.verdict for r in urlfilter.judge_urls(pages, labelled.limit(0)).where("rule IS NULL").collect()} == {"allow"}
     assert urlfilter.judge_urls(pages.limit(0), labelled).collect() == []
+
+
+def test_language_scores_equal_plain_compression(spark):
+    """Prediction and score from the plain sizes of whole texts, block by block."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held")).collect()
+    learned = language.train(docs, ~held_out(F.col("doc_id")))
+    used = [r for r in rows if not r.held and r.text is not None and r.lang is not None]
+    assert sorted(learned) == sorted({r.lang for r in used})
+    got = {r.doc_id: r for r in language.identify(docs, learned).collect()}
+    kind = zstandard.DICT_TYPE_RAWCONTENT
+    for r in rows:
+        if not any(c.isalpha() for c in r.text or ""):
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0)
+            continue
+        raw, sizes = r.text.lower().encode(), {}
+        for lang, data in learned.items():
+            press = zstandard.ZstdCompressor(
+                level=language.LEVEL, dict_data=zstandard.ZstdCompressionDict(data, dict_type=kind),
+                write_content_size=False, write_checksum=False, write_dict_id=False,
+            )
+            sizes[lang] = sum(len(press.compress(raw[k : k + language.BLOCK_BYTES])) for k in range(0, len(raw), language.BLOCK_BYTES))
+        best = min(sorted(sizes), key=sizes.get)
+        odds = sum(math.exp(-100 * (n / sizes[best] - 1) / language.LEAD_PERCENT) for n in sizes.values())
+        assert got[r.doc_id].lang_pred == best and got[r.doc_id].score == pytest.approx(1 / odds)
+
+
+def test_language_sample_is_the_first_by_hash(spark, monkeypatch):
+    """More ids than the bound in every part of a language: ranking in parts draws the same ids as one ranking."""
+    docs = spark.range(0, 9_000, 1, 7).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.when(F.col("id") % 9 == 0, "de").otherwise("en").alias("lang"))
+    taken = []
+    monkeypatch.setattr(language, "_join", lambda texts: taken.append(sorted(texts)) or b"")
+    language.train(docs)
+    ranked = docs.orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    want = [sorted([r.text.encode() for r in ranked if r.lang == lang][: language.SAMPLE_DOCUMENTS]) for lang in ("de", "en")]
+    assert taken == want and len(want[0]) == len(want[1]) == language.SAMPLE_DOCUMENTS
+
+
+def test_quality_scores_follow_from_the_rules(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = quality.train(docs, spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), ~held_out(F.col("doc_id")))
+    got = {r.doc_id: r for r in quality.score(docs, model).collect()}
+    for r in docs.select("doc_id", "text").collect():
+        stats = dict(zip(quality.STATISTICS, quality.statistics((r.text or "").encode()), strict=True))
+        held = [w for rule, w in model.rules if all(stats[n] <= b if side == "<=" else stats[n] > b for n, side, b in rule)]
+        score = 1 / (1 + math.exp(-(model.intercept + sum(held))))
+        assert got[r.doc_id].score == pytest.approx(score) and got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.7)
