@@ -94,11 +94,19 @@ def sync_reports(run: SyncRun, cfg: SyncConfig) -> dict[str, tuple[str, DataFram
     }
 
 
+def run_notes(run: SyncRun, cfg: SyncConfig) -> dict[str, tuple[str, DataFrame]]:
+    """What a run tells beside its review reports: the events as lines, and how much the directory covers."""
+    return {
+        "digest": ("The events as text, by line number.", reports.event_digest(run.events, cfg.grace_days)),
+        "coverage": ("Photos and regions of visible rows.", summaries.coverage_stats(run.directory)),
+    }
+
+
 def run_sync(
     raw: DataFrame, previous: DataFrame, cfg: SyncConfig, now: datetime,
     out: str, dry_run: bool = False, fmt: str = "parquet",
 ) -> SyncRun:
-    """A whole run: merge, publish the directory, write the reports.
+    """A whole run: merge, publish the directory, write the reports, the digest and the coverage.
 
     A dry run computes the same frames and publishes nothing.
     """
@@ -107,4 +115,5 @@ def run_sync(
         run = replace(run, flags=materialise(run.flags, "flags"))
         publish_directory(run.directory, f"{out}/directory.{fmt}", fmt)
         write_reports(sync_reports(run, cfg), f"{out}/reports", now)
+        write_reports(run_notes(run, cfg), f"{out}/notes", now)
     return run

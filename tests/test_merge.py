@@ -169,6 +169,20 @@ def test_second_run_has_no_events(spark, sf_dir, tmp_path):
     assert envelopes.count() == 10 and envelopes.where("report = 'live'").first()["count"] == after.count()
 
 
+def test_a_run_writes_its_digest_and_coverage(spark, sf_dir, tmp_path):
+    run = run_sync(Q.roster(spark, sf_dir), Q.previous(spark, sf_dir), SYNC, FIXTURE_NOW, str(tmp_path))
+    lines = spark.read.json(str(tmp_path / "notes" / "rows" / "report=digest")).orderBy("line_no").collect()
+    kinds = {r.kind: r["count"] for r in run.events.groupBy("kind").count().collect()}
+    assert kinds and [r.line_no for r in lines] == list(range(1, sum(kinds.values()) + 2 * len(kinds) + 1))
+    assert sorted(int(r.line.split()[0]) for r in lines if r.line.endswith(":")) == sorted(kinds.values())
+    assert sum(r.line == "" for r in lines) == len(kinds)
+    seen = spark.read.json(str(tmp_path / "notes" / "rows" / "report=coverage")).first()
+    rows = run.directory.select("hidden", "photo", "regions").collect()
+    shown = [r for r in rows if not r.hidden]
+    assert (seen.total, seen.visible, seen.with_photo) == (len(rows), len(shown), sum(bool(r.photo and r.photo.strip()) for r in shown))
+    assert seen.with_region + seen.without_region == seen.visible and seen.with_region == sum(bool(r.regions) for r in shown)
+
+
 def test_dry_run_and_refusal_write_nothing(spark, sf_dir, tmp_path):
     raw, prev = Q.roster(spark, sf_dir), Q.previous(spark, sf_dir)
     run = run_sync(raw, prev, SYNC, FIXTURE_NOW, str(tmp_path / "dry"), dry_run=True)
