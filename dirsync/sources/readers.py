@@ -1,8 +1,6 @@
 """Sources.
 
-JSON lines, JSON arrays and Parquet are read alike.  A JSON array file is read
-whole by one task, so large snapshots belong in JSON lines or Parquet, which
-split.
+JSON lines, JSON arrays and Parquet are read alike, and all of them in splits.
 """
 
 from __future__ import annotations
@@ -15,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..schemas import DIRECTORY, DIRECTORY_FIELDS, ROSTER_FIELDS, ROSTER_FLAGS, TRANSACTIONS
+from .arrays import json_elements
 from .versions import current
 
 FORMATS = ("jsonl", "json", "parquet")
@@ -30,14 +29,13 @@ def format_of(path: str) -> str:
 
 
 def _json_records(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    """One ``rec`` map per JSON object, with every value as text.
+    """One ``rec`` map per JSON object, with every value as text, and its place ``at`` if the file is an array.
 
     A map keeps field names in their exact case and keeps fields that no schema
     knows, and it reads an id alike whether it is a number or a string.
     """
     if fmt == "json":
-        raw = spark.read.text(path, wholetext=True)
-        return raw.select(F.explode(F.from_json("value", "array<map<string,string>>")).alias("rec"))
+        return json_elements(spark, path).select(F.from_json("text", "map<string,string>").alias("rec"), "at")
     raw = spark.read.text(path).where(F.trim("value") != "")
     return raw.select(F.from_json("value", "map<string,string>").alias("rec"))
 
@@ -52,9 +50,10 @@ def _with_pos(df: DataFrame) -> DataFrame:
     Rows are told apart by it, so the two are never mixed.  Given positions are
     checked; those made here cannot repeat.
     """
+    order = F.col("at") if "at" in df.columns else F.monotonically_increasing_id()
     if "pos" in df.columns and df.where("pos is null").isEmpty():
-        return _told_apart(df)
-    return df.withColumn("pos", F.monotonically_increasing_id())
+        return _told_apart(df.drop("at"))
+    return df.withColumn("pos", order).drop("at")
 
 
 def _told_apart(df: DataFrame) -> DataFrame:
@@ -83,6 +82,7 @@ def _read_roster(spark: SparkSession, path: str, fmt: str | None) -> DataFrame:
             for c, v in cols.items()
         ],
         pos.alias("pos"),
+        *[c for c in raw.columns if c == "at" and fmt == "json"],
     )
     return _with_pos(rows)
 
@@ -160,7 +160,8 @@ def load_directory(spark: SparkSession, path: str, fmt: str | None = None) -> Da
         cols.append(value.alias(col))
     extras = F.map_filter(rec, lambda k, _v: ~k.isin(*known)).alias("extras")
     raw = _json_records(spark, path, fmt)
-    return drop_repeats(_with_pos(raw.select(*cols, extras, rec["pos"].try_cast("bigint").alias("pos"))))
+    rows = raw.select(*cols, extras, rec["pos"].try_cast("bigint").alias("pos"), *[c for c in raw.columns if c == "at"])
+    return drop_repeats(_with_pos(rows))
 
 
 def load_sales(
@@ -174,9 +175,10 @@ def load_sales(
     fmt = fmt or format_of(path)
     if fmt == "parquet":
         rows = spark.read.parquet(path)
+    elif fmt == "json":
+        rows = json_elements(spark, path).select(F.from_json("text", TRANSACTIONS).alias("row")).select("row.*")
     else:
-        reader = spark.read.schema(TRANSACTIONS)
-        rows = reader.json(path, multiLine=(fmt == "json"))
+        rows = spark.read.schema(TRANSACTIONS).json(path)
     day = F.col("closing_date")
     last = f"{year + 1}-01-01"
     if today is not None and today.year == year:
@@ -184,9 +186,19 @@ def load_sales(
     return rows.where((F.col("status") == "closed") & (day >= f"{year}-01-01") & (day < last))
 
 
-def load_state(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """A keyed state table; a path that does not exist gives an empty one."""
+def load_state(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", key: str | None = None) -> DataFrame:
+    """A keyed state table; a path that does not exist gives an empty one.
+
+    ``fmt`` is parquet, json (lines), or keyed: one JSON object that holds each
+    row under its key, which becomes the column ``key``.
+    """
     try:
+        if fmt == "keyed":
+            if key is None:
+                raise ValueError("name the column of the key with key=")
+            row = F.from_json("text", T.StructType([f for f in schema.fields if f.name != key])).alias("row")
+            rows = json_elements(spark, path).where("key IS NOT NULL").select(F.col("key").alias(key), row)
+            return rows.select(*[F.col(f.name if f.name == key else f"row.{f.name}").cast(f.dataType) for f in schema.fields])
         reader = spark.read.schema(schema)
         return reader.parquet(path) if fmt == "parquet" else reader.json(path)
     except AnalysisException as err:
