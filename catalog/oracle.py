@@ -6,9 +6,13 @@ aggregates, windows where Spark joins.
 
 from __future__ import annotations
 
+import re
+from datetime import timedelta
+
 from dirsync.operators.entities import REFERENCE, code_page_texts, entity_names
+from dirsync.sources.readers import ACCOUNT_SPAN
 
-from .fixtures import FIXTURES, duck_sql, with_clause
+from .fixtures import FIXTURES, duck_sql, parents, with_clause
 from .settings import ASSET, NOW, RUN, SALES, SYNC, YEAR
 
 NOW_TS = f"TIMESTAMPTZ '{NOW.isoformat()}'"
@@ -824,6 +828,45 @@ LEFT JOIN o_valid i ON l.seq = 0 AND i.pos = l.pos
 """
 
 
+def _chained(snapshots: int, days: int) -> None:
+    """Views of syncs that follow each other: each merges its own snapshot into what the one before published."""
+    needed: list[str] = []
+
+    def visit(name: str) -> None:
+        for other in parents(POOL[name], POOL):
+            if other.startswith("o_") and other not in (*needed, "o_dir"):
+                visit(other)
+        needed.append(name)
+
+    visit("o_merged")
+    order = "soft_deleted_at, extras, row_number() OVER (ORDER BY lower(coalesce(name, '')), seq, pos) AS pos"
+    for n in range(snapshots):
+        POOL[f"r{n}_main"] = f"SELECT * FROM fx_roster_a WHERE account = 'main' AND pos % 50 <> {n}"
+        POOL[f"r{n}_roster"] = f"""
+SELECT * FROM r{n}_main UNION ALL
+SELECT * REPLACE (pos + {ACCOUNT_SPAN} AS pos) FROM fx_roster_a WHERE account <> 'main' AND pos % 50 <> {n}
+  AND NOT coalesce(trim(id) <> '' AND trim(id) IN (SELECT trim(id) FROM r{n}_main WHERE id IS NOT NULL), false)
+  AND NOT coalesce(trim(email) <> '' AND lower(trim(email)) IN (SELECT lower(trim(email)) FROM r{n}_main WHERE email IS NOT NULL), false)
+"""
+        before = "o_dir" if n == 0 else f"(SELECT {MERGED_COLUMNS}, {order} FROM r{n - 1}_merged)"
+        POOL[f"r{n}_dir"] = f"""
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+  PARTITION BY coalesce(id, ''), coalesce(second_id, ''), coalesce(source, ''), lower(trim(coalesce(name, ''))) ORDER BY pos) AS rn FROM {before})
+WHERE rn = 1
+"""
+        now = (NOW + timedelta(days=days * n)).isoformat()
+        for name in needed:
+            body = re.sub(r"\bo_(\w+)", lambda m: f"r{n}_{m[1]}" if m[0] in needed or m[0] == "o_dir" else m[0], POOL[name])
+            POOL[f"r{n}_{name[2:]}"] = body.replace("fx_roster_a", f"r{n}_roster").replace(NOW_TEXT, now)
+
+
+MERGED_COLUMNS = (
+    "email, name, phone, title, team, team_logo, regions, office, photo, page_url, id, second_id, source, photo_source, photo_hash, hidden"
+)
+_chained(3, 20)
+ORACLES["stream_snapshots"] = f"SELECT {DIR_TEXT} FROM r2_merged"
+
+
 def oracle_texts() -> dict[str, str]:
     out = {}
     for key, sql in ORACLES.items():
