@@ -43,7 +43,7 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies: texts that share at least 0.8 of their five-word shingles (Jaccard).
+    """One row of each group of near copies: found by SimHash, they share at least 0.8 of their five-word shingles (Jaccard).
 
     The row with the smallest doc_id stays, one without doc_id only if all are; texts without words are one group.
     """

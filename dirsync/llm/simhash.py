@@ -35,6 +35,8 @@ RUNS = ((0, 21), (21, 21), (42, 22))
 CODE_BITS, RADIUS = 15, 1
 #: Fingerprints that are compared with those of a bucket at once.
 _BLOCK = 256
+#: Rows of a bucket up to which all pairs are compared in steps over many buckets.
+_WIDE = 4096
 
 
 def shingle_hashes(text: bytes, width: int = WORDS) -> np.ndarray:
@@ -110,14 +112,14 @@ def anchors(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(owners), np.concatenate(keys)
 
 
-def spanning_links(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect the distinct fingerprints of a bucket as all links within the threshold do.
+def spanning(fp: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs that connect the fingerprints of a bucket as all links within the threshold do.
 
     Every fingerprint looks once at those not yet reached, and a reached one is
     taken out, so a dense group costs little and no pairs of it come out.
     """
     out_a, out_b = [], []
-    left = np.sort(fp)
+    left = np.arange(len(fp))
     queue: list[np.ndarray] = []
     while len(left):
         if not queue:
@@ -128,17 +130,30 @@ def spanning_links(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             part = front[i : i + _BLOCK]
             if not len(left):
                 break
-            close = np.bitwise_count(part[:, None] ^ left[None, :]) <= THRESHOLD
+            close = np.bitwise_count(fp[part, None] ^ fp[None, left]) <= threshold
             hit = close.any(axis=0)
             if hit.any():
                 out_a.append(part[close[:, hit].argmax(axis=0)])
                 out_b.append(left[hit])
                 queue.append(left[hit])
                 left = left[~hit]
-    none = np.zeros(0, np.uint64)
+    none = np.zeros(0, np.int64)
     return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (none, none)
 
 
+def with_links(key: np.ndarray, fp: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
+    """Which rows, sorted by key, have a link in their bucket; all of a bucket with more than ``_WIDE`` rows count as such."""
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    sizes = np.diff(np.append(starts, len(key)))
+    found, end = np.repeat(sizes > _WIDE, sizes), np.repeat(starts + sizes, sizes)
+    at, step = np.flatnonzero(~found), 1
+    while len(at := at[at + step < end[at]]):
+        close = at[np.bitwise_count(fp[at] ^ fp[at + step]) <= threshold]
+        found[close] = found[close + step] = True
+        step += 1
+    return found
+
+
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Runs of whole buckets, from rows (anchor, fp) that come sorted by anchor."""
     held_key, held_fp = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -153,10 +168,13 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np
         yield held_key, held_fp
 
 
-def fingerprint_links(prints: DataFrame) -> DataFrame:
+def fingerprint_links(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """a, b: links between distinct fingerprints (column ``fp``) that connect what the threshold connects.
 
-    A task holds one anchor's distinct fingerprints at a time.
+    All within THRESHOLD bits are found, and those of a higher threshold that have
+    a run with at most two differing bits: up to eight bits all have one, as the
+    word between two such runs is within a bit of an anchor.  A task holds one
+    anchor's distinct fingerprints at a time.
     """
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,11 +185,12 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, fp in _buckets(batches):
-            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            ends = np.append(starts[1:], len(key))
-            many = ends - starts > 1
-            fp = fp.view(np.uint64)
-            found = [spanning_links(fp[a:b]) for a, b in zip(starts[many].tolist(), ends[many].tolist(), strict=True)]
+            linked = with_links(key, fp.view(np.uint64), threshold)
+            key, fp = key[linked], fp[linked].view(np.uint64)
+            starts, found = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]), []
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(key)]):
+                own = np.sort(fp[a:b])
+                found.append([own[i] for i in spanning(own, threshold)])
             if found:
                 a, b = (np.concatenate(x).view(np.int64) for x in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])

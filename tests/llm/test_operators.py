@@ -238,6 +238,16 @@ def words_of(text):
     return (text or "").encode().lower().split()
 
 
+def brute_components(close):
+    """The smallest number each row reaches."""
+    least = np.arange(len(close))
+    while True:
+        after = np.minimum(least, np.where(close, least, len(close)).min(axis=1))
+        if (after == least).all():
+            return least.tolist()
+        least = after
+
+
 def brute_near_copies(texts):
     """Group number of each text, by all pairs."""
     sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in map(words_of, texts)]
@@ -273,6 +283,31 @@ def test_near_copies_equal_brute_force(spark, odd, empty, sf_dir):
     assert nearcopies.drop_copies(empty).collect() == []
 
 
+def test_near_copies_come_from_close_fingerprints(spark):
+    """Candidates are members with a close SimHash fingerprint of one kind, whatever else they share."""
+    rng = np.random.default_rng(3)
+    prints = rng.integers(-(2**62), 2**62, (400, nearcopies.PRINTS))
+    for i in range(0, 200, 2):  # each second one is close in one kind: the same fingerprint, or up to eight bits away
+        kind, flips = i % nearcopies.PRINTS, rng.choice(63, i % 9, replace=False)
+        prints[i + 1, kind] = prints[i, kind] ^ sum(1 << int(b) for b in flips)
+    rows = [(i, p) for i, p in enumerate(prints.tolist())]
+    links = nearcopies.close_members(spark.createDataFrame(rows, "member bigint, prints array<bigint>")).collect()
+    assert {tuple(sorted(r)) for r in links} == {(i, i + 1) for i in range(0, 200, 2)}
+
+
+def test_rows_with_links_equal_brute_force():
+    rng = np.random.default_rng(4)
+    key = np.sort(rng.integers(0, 60, 500))
+    fp = rng.integers(0, 2**63, 40).astype(np.uint64)[rng.integers(0, 40, 500)] ^ (np.uint64(1) << rng.integers(0, 64, 500).astype(np.uint64))
+    close = (np.bitwise_count(fp[:, None] ^ fp) <= 2) & (key[:, None] == key) & ~np.eye(500, dtype=bool)
+    assert simhash.with_links(key, fp, 2).tolist() == close.any(axis=1).tolist()
+    a, b = simhash.spanning(fp, 2)
+    group = brute_components(np.bitwise_count(fp[:, None] ^ fp) <= 2)
+    linked = np.zeros((500, 500), bool)
+    linked[a, b] = linked[b, a] = True
+    assert brute_components(linked) == group
+
+
 def test_one_row_of_each_group_stays(spark, odd):
     """Null and shared ids: a group never goes as a whole, and never leaves two rows."""
     good = [" ".join(f"{c}{k}" for k in range(60)) for c in "abcdef"]
