@@ -28,7 +28,7 @@ TEXT_AT_ONCE = 4_000_000
 #: number of bytes in lower case: printable ASCII and the letters of Latin-1.
 _LETTERS = "A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _PLAIN = re.compile(f"[\\n -~{_LETTERS}]*")
-_DOUBLE_GAP = re.compile(r"[ \n][ \n]|[ \n]$")
+_DOUBLE_GAPS = ("  ", " \n", "\n ", "\n\n")
 _WORD = f"'?[{_LETTERS}]+(?:'[{_LETTERS}]+)*|[!-/:-@[-`{{-~]+"
 _SPACED = re.compile(f"[ \\n]?(?:{_WORD})")
 _BARE = re.compile(_WORD)
@@ -46,7 +46,7 @@ def cut_before_space(text: str) -> list[str]:
     space behind it, nor from a letter into punctuation or back, but for the
     apostrophe of a contraction.
     """
-    if is_plain(text) and not _DOUBLE_GAP.search(text):
+    if is_plain(text) and not text.endswith((" ", "\n")) and not any(gap in text for gap in _DOUBLE_GAPS):
         return _SPACED.findall(text)
     return [s for s in _GAP.split(text) if s]
 
@@ -101,10 +101,11 @@ class SegmentEncoder:
         if missing:
             first = len(self.known)
             self.known.update(zip(missing, range(first, first + len(missing))))
-            for ids in self.learn(missing):
-                self.flat.extend(ids)
-                self.starts.append(len(self.flat))
-            codes[unknown] = [self.known[flat[i]] for i in unknown.tolist()]
+            learned = self.learn(missing)
+            upto = len(self.flat) + np.fromiter(map(len, learned), np.int64, len(learned)).cumsum()
+            self.flat.extend(chain.from_iterable(learned))
+            self.starts.frombytes(upto.tobytes())
+            codes[unknown] = list(map(self.known.__getitem__, map(flat.__getitem__, unknown.tolist())))
         starts, stored = np.frombuffer(self.starts, np.int64), np.frombuffer(self.flat or array("I", [0]), np.uint32)
         first, size = starts[codes], starts[codes + 1] - starts[codes]
         ids = stored[ranges(first, size)]
@@ -133,22 +134,39 @@ class LibraryEncoder(SegmentEncoder):
     def learn(self, segments):
         """Plain segments are encoded in one text and told apart by the bytes of their tokens, others alone."""
         gap = self.cut_kind is cut_before_space
-        joined = [i for i, s in enumerate(segments) if self.cut_kind is not _whole and is_plain(s) and not self.special.search(s) and (not gap or s[0] in " \n" and s[-1] not in " \n")]
-        one_by_one = sorted(set(range(len(segments))).difference(joined))
+        joined, one_by_one = [], list(range(len(segments)))
+        if self.cut_kind is not _whole:
+            joined = [i for i in self._plain(segments) if not gap or segments[i][0] in " \n" and segments[i][-1] not in " \n"]
+            one_by_one = sorted(set(one_by_one).difference(joined))
         found: list = [None] * len(segments)
-        batch = self.tokenizer.encode_batch([segments[i] for i in one_by_one], add_special_tokens=False)
+        batch = self.tokenizer.encode_batch_fast([segments[i] for i in one_by_one], add_special_tokens=False)
         for i, e in zip(one_by_one, batch, strict=True):
             found[i] = e.ids
         for part in slices((len(segments[i]) for i in joined), 100_000):
             own = [segments[i] for i in joined[part]]
-            ids = self.tokenizer.encode(("" if gap else " ").join(own), add_special_tokens=False).ids
+            text = ("" if gap else " ").join(own)
+            ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
             ends = np.cumsum(self.token_bytes[ids])
-            bounds = np.searchsorted(ends, np.cumsum([len(s.encode()) for s in own]), side="right").tolist()
+            sizes = map(len, own) if text.isascii() else (len(s.encode()) for s in own)
+            bounds = np.searchsorted(ends, np.fromiter(sizes, np.int64, len(own)).cumsum(), side="right").tolist()
             for i, a, b in zip(joined[part], [0, *bounds], bounds):
                 found[i] = ids[a:b]
         return found
 
 
+    def _plain(self, segments: list[str]) -> list[int]:
+        """Numbers of the plain segments without a special token; most are told many at once."""
+        found: list[int] = []
+        for a in range(0, len(segments), 256):
+            part = segments[a : a + 256]
+            text = "\n".join(part)
+            if is_plain(text) and not self.special.search(text):
+                found += range(a, a + len(part))
+            else:
+                found += [a + i for i, s in enumerate(part) if is_plain(s) and not self.special.search(s)]
+        return found
+
+
 def _cut_for(made: dict):
     """Where texts may be cut for this tokenizer; whole texts if that is not known."""
     special = made.get("added_tokens") or []

@@ -109,6 +109,20 @@ def test_windows_are_told_apart_by_bytes(batch):
     assert all((w.string[1:] >= w.string[:-1]).all() for w in family.levels) and len(family.levels) <= 11
 
 
+def test_plain_segments_are_told_many_at_once():
+    """Each segment is looked at alone only where its neighbours are not all plain."""
+    encoder, looked = encoding.LibraryEncoder(BYTE), []
+    class Counting:
+        def search(self, text):
+            looked.append(text)
+            return "<|endoftext|>" in text
+    encoder.special = Counting()
+    segments = [f" w{i}" for i in range(2000)]
+    segments[700], segments[1500] = " \u4e2d", " <|endoftext|>"
+    assert encoder._plain(segments) == [i for i in range(2000) if i not in (700, 1500)]
+    assert len(looked) < 800
+
+
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_segments_give_the_ids_of_whole_texts(path):
     rnd = random.Random(2)
