@@ -20,7 +20,7 @@ open window its MATCH bytes, which is the match length that counts.  A match is
 decided on these bytes, first within the task that has the texts, then, for the
 one document of each window that is left, by key for all tasks.
 
-A class is 64 bits of hashes under the 48 of its key; two contexts of the same
+A class is 64 bits of hashes under the 40 of its key; two contexts of the same
 GRAM bytes that differ would have to agree in them to be taken for equal.
 """
 
@@ -53,11 +53,15 @@ PIECE, MARGIN = 1 << 18, 64
 BATCH_WINDOWS, CONTEXT_SHARDS = 100_000, 4
 #: Of the bytes of a window beside an anchor, one side has at least so many.
 SIDE = (MATCH - GRAM) // 2
+#: Bits of a key; more would only tell apart what classes and bytes tell apart anyway.
+KEY_BITS = 40
+#: Rows up to which the planes of an array are compressed together.
+FEW = 512
 #: Bytes that windows around an anchor reach.
 REACH = 2 * MATCH - GRAM
 #: The windows that have the bytes before the anchor, and those that have the bytes behind it, by how far ahead of it they start.
 _BEFORE, _AFTER = np.arange(RUN) >= SIDE, np.arange(RUN) <= SIDE
-_REST, _TWELVE, _KEY = np.uint64((1 << 40) - 1), np.uint64((1 << 12) - 1), np.uint64((1 << 48) - 1)
+_REST, _TWELVE, _KEY = np.uint64((1 << 40) - 1), np.uint64((1 << 12) - 1), np.uint64((1 << KEY_BITS) - 1)
 
 u64 = np.uint64
 _M1, _M2, _M3 = u64(0x9E3779B97F4A7C15), u64(0xBF58476D1CE4E5B9), u64(0x94D049BB133111EB)
@@ -167,17 +171,19 @@ def pieces(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[tupl
         yield [u[0] for u in own], [u[1] for u in own], [(u[2] - u[1], u[3] - u[1]) for u in own], Suffixes(cut)
 
 
-# Arrays in transit: sorted keys as differences, in byte planes, compressed.
+# Arrays in transit: sorted keys as differences, in byte planes, compressed; those of few rows in one go.
 
 
 def _squeeze(*columns: np.ndarray) -> bytes:
     press = zstandard.ZstdCompressor(level=1).compress
-    parts = [np.array([len(columns), len(columns[0])], "<i8").tobytes()]
-    for c in columns:
-        c = np.ascontiguousarray(c, "<u8")
-        planes = c.view(np.uint8).reshape(-1, 8)
+    head = np.array([len(columns), len(columns[0])], "<i8").tobytes()
+    planes = [np.ascontiguousarray(c, "<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns]
+    if len(columns[0]) <= FEW:
+        return head + press(b"".join(planes))
+    parts, n = [head], len(columns[0])
+    for p in planes:
         for i in range(8):
-            z = press(np.ascontiguousarray(planes[:, i]).tobytes())
+            z = press(p[i * n : i * n + n])
             parts += [len(z).to_bytes(4, "little"), z]
     return b"".join(parts)
 
@@ -185,6 +191,9 @@ def _squeeze(*columns: np.ndarray) -> bytes:
 def _unsqueeze(blob: bytes) -> list[np.ndarray]:
     k, n = np.frombuffer(blob, "<i8", 2).tolist()
     open_, at, out = zstandard.ZstdDecompressor().decompress, 16, []
+    if n <= FEW:
+        planes = np.frombuffer(open_(blob[at:]), np.uint8).reshape(k, 8, n)
+        return [np.ascontiguousarray(p.T).reshape(-1).view("<u8") for p in planes]
     for _ in range(k):
         planes = np.empty((n, 8), np.uint8)
         for i in range(8):
@@ -292,7 +301,7 @@ def _order(doc_ids: np.ndarray) -> np.ndarray:
     return doc_ids.astype(np.int64).view(u64) ^ u64(1 << 63)
 
 
-def _rows(shards: np.ndarray, n_shards: int, columns: list[np.ndarray], sorted_by: int | None = None) -> Iterator[tuple[int, bytes]]:
+def _rows(shards: np.ndarray, n_shards: int, columns: list[np.ndarray], sorted_by: tuple[int, ...] = ()) -> Iterator[tuple[int, bytes]]:
     """(shard, blob) for every shard that has rows."""
     order = np.argsort(shards, kind="stable")
     bounds = np.searchsorted(shards[order], np.arange(n_shards + 1))
@@ -301,8 +310,8 @@ def _rows(shards: np.ndarray, n_shards: int, columns: list[np.ndarray], sorted_b
         a, b = bounds[s], bounds[s + 1]
         if a < b:
             own = [c[a:b] for c in columns]
-            if sorted_by is not None:
-                own[sorted_by] = _differences(own[sorted_by])
+            for c in sorted_by:
+                own[c] = _differences(own[c])
             yield s, _squeeze(*own)
 
 
@@ -326,10 +335,10 @@ def _doc_shard(doc: np.ndarray, n: int) -> np.ndarray:
 
 
 def _by_document(kind: int, n: int, doc: np.ndarray, value: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Blobs of (document, value) for the shards of documents."""
+    """Blobs of (document, value) for the shards of documents; values as differences too, small but where a document begins."""
     order = np.lexsort((value, doc))
     doc, value = doc[order], value[order]
-    yield from _blobs(kind, _rows(_doc_shard(doc, n), n, [doc, value], sorted_by=0))
+    yield from _blobs(kind, _rows(_doc_shard(doc, n), n, [doc, value], sorted_by=(0, 1)))
 
 
 def _by_shard(batches: Iterator[pa.RecordBatch]):
@@ -363,13 +372,12 @@ def make_arrays(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _arrays(key, cls, doc, n):
-    """(shard, blob): the array's part for each shard; documents travel as numbers into a sorted list."""
-    shard = (_mix(key) % u64(n)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
-    bounds = np.searchsorted(shard[order], np.arange(n + 1))
+    """(shard, blob): the array's part for each shard, from rows sorted by key; documents travel as numbers into a sorted list."""
+    shard = ((key * u64(n)) >> u64(KEY_BITS)).astype(np.int64)  # keys are hashes: ranges are as even, and their differences smaller
+    bounds = np.searchsorted(shard, np.arange(n + 1))
     for s in range(n):
-        own = order[bounds[s] : bounds[s + 1]]
-        if len(own):
+        own = slice(bounds[s], bounds[s + 1])
+        if bounds[s] < bounds[s + 1]:
             names, number = np.unique(doc[own], return_inverse=True)
             head = _squeeze(_differences(names))
             yield s, len(head).to_bytes(8, "little") + head + _squeeze(_differences(key[own]), cls[own], number.astype(u64))
@@ -416,7 +424,7 @@ class Told:
 
     def add(self, kind: int, blob: bytes) -> None:
         doc, value = _unsqueeze(blob)
-        self.parts.setdefault(kind, []).append(_pair(np.cumsum(doc, dtype=u64), value))
+        self.parts.setdefault(kind, []).append(_pair(np.cumsum(doc, dtype=u64), np.cumsum(value, dtype=u64)))
 
     def add_bits(self, blob: bytes) -> None:
         doc, cls, bits = _unsqueeze(blob)
@@ -486,8 +494,33 @@ class Open:
         rows, places = np.nonzero((self.bits[:, None] >> np.arange(RUN, dtype=u64)) & u64(1))
         return Windows.cut(self.data, rows, self.left[rows] - places, self.doc[rows], self.cls[rows], places.astype(np.uint8))
 
-    def columns(self) -> list[np.ndarray]:
-        return [self.key, self.cls, self.doc, self.left.astype(u64), self.bits, *np.ascontiguousarray(self.data).view("<u8").astype(u64).T]
+    def blobs(self, n_shards: int) -> Iterator[tuple[int, bytes]]:
+        """(shard of the key, blob) of the rows; of the context only the bytes that open windows reach, one row after another."""
+        shards = (_mix(self.key) % u64(n_shards)).astype(np.int64)
+        order = np.lexsort((self.key, shards))
+        bounds = np.searchsorted(shards[order], np.arange(n_shards + 1))
+        reached = np.zeros(self.data.shape, bool)
+        for j in range(RUN):
+            rows = np.flatnonzero((self.bits >> u64(j)) & u64(1))
+            first = self.left[rows] - j
+            # a window's ends: what lies between is filled below
+            reached[rows, first] = reached[rows, first + MATCH - 1] = True
+        reached = np.maximum.accumulate(reached, axis=1) & np.maximum.accumulate(reached[:, ::-1], axis=1)[:, ::-1]
+        data = np.where(reached, self.data, 0).astype(np.uint8)
+        press = zstandard.ZstdCompressor(level=5).compress
+        for s in range(n_shards):
+            own = order[bounds[s] : bounds[s + 1]]
+            if len(own):
+                head = _squeeze(_differences(self.key[own]), self.cls[own], self.doc[own], self.left[own].astype(u64), self.bits[own])
+                yield s, len(head).to_bytes(8, "little") + head + press(data[own].tobytes())
+
+    @classmethod
+    def read(cls_, blob: bytes) -> Open:
+        size = int.from_bytes(blob[:8], "little")
+        key, cls, doc, left, bits = _unsqueeze(blob[8 : 8 + size])
+        data = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[8 + size :]), np.uint8).reshape(-1, REACH)
+        nothing = np.zeros(len(key), np.int64)
+        return Open([(nothing, nothing, np.cumsum(key, dtype=u64), cls, doc, left.astype(np.int64), bits, data)])
 
 
 class Windows:
@@ -634,6 +667,13 @@ def _read_open_row(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return spans, rest[: len(rest) // 2], rest[len(rest) // 2 :].view("<i8")
 
 
+def _blanked(text: bytes, removed: np.ndarray, pressed: bytes) -> bytes:
+    """The compressed text with zeros for the removed bytes, which nobody reads again."""
+    if not removed.any():
+        return pressed
+    return zstandard.ZstdCompressor(level=3).compress(np.where(removed, 0, np.frombuffer(text, np.uint8)).astype(np.uint8).tobytes())
+
+
 _ANSWER = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.int64())), ("sha256", pa.string()), ("kept", pa.binary())]
 _ANSWER_DDL = "n_bytes bigint, n_removed bigint, spans array<bigint>, sha256 string, kept binary"
 
@@ -658,8 +698,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = True, id_col="doc_id", tex
     name go along in ``row``.
 
     Shards are as many as the session's shuffle partitions.  Texts are moved once,
-    to the shard of their document, compressed; those with open windows are written
-    with their anchors and moved again, to be cut once these are settled.  All that
+    to the shard of their document, compressed; those with open windows are written,
+    without the bytes already removed, with their anchors and moved again, to be cut once these are settled.  All that
     is kept for a shard at a time are its suffixes, or what is told about its
     documents; texts stream by.
     """
@@ -739,7 +779,7 @@ def _looker(first: bool, n: int, with_text: bool):
             removed = [m if k else np.zeros(len(t), bool) for m, k, t in zip(np.split(marked, ends[:-1]), known, texts, strict=True)]
             pending = np.bincount(found.text, minlength=len(texts)) > 0
             once = found.once()[0]
-            for s, blob in _rows((_mix(once.key) % u64(CONTEXT_SHARDS * n)).astype(np.int64), CONTEXT_SHARDS * n, once.columns()):
+            for s, blob in once.blobs(CONTEXT_SHARDS * n):
                 yield answer(batch.slice(0, 0), [s], CONTEXT, [blob], [], [])
             order = np.argsort(found.text, kind="stable")
             bounds = np.searchsorted(found.text[order], np.arange(len(texts) + 1))
@@ -751,7 +791,8 @@ def _looker(first: bool, n: int, with_text: bool):
                     for i in at.tolist() if kind == PENDING else []:
                         mine = order[bounds[i] : bounds[i + 1]]
                         blobs.append(_open_row(_runs(removed[i]), found.cls[mine], found.at[mine] - (ends[i] - len(read[i]))))
-                    yield answer(own, None, kind, blobs or None, [(pressed if kind == PENDING else texts)[i] for i in at], [removed[i] for i in at])
+                    sent = [_blanked(texts[i], removed[i], pressed[i]) for i in at] if kind == PENDING else [texts[i] for i in at]
+                    yield answer(own, None, kind, blobs or None, sent, [removed[i] for i in at])
         else:
             base = ends - [len(t) for t in texts]
             spans, cls, at = zip(*map(_read_open_row, batch.column(2).to_pylist()), strict=True)
@@ -787,10 +828,7 @@ def _settle_contexts(contexts: DataFrame, n: int) -> DataFrame:
         for _, rows in _by_shard(batches):
             family, late, held, count = WindowFamily(), [], [], 0
             for _, batch, i in rows:
-                key, cls, doc, left, bits, *words = _unsqueeze(batch.column(2)[i].as_py())
-                nothing = np.zeros(len(key), np.int64)
-                data = np.ascontiguousarray(np.stack(words, axis=1)).view(np.uint8)
-                held.append(Open([(nothing, nothing, key, cls, doc, left.astype(np.int64), bits, data)]).windows())
+                held.append(Open.read(batch.column(2)[i].as_py()).windows())
                 count += len(held[-1])
                 if count >= BATCH_WINDOWS:
                     late += family.add(_joined(held))
@@ -799,7 +837,7 @@ def _settle_contexts(contexts: DataFrame, n: int) -> DataFrame:
                 late += family.add(_joined(held))
             doc, cls, bits = _told_bits(late)
             if len(doc):
-                yield from _blobs(SHARED, _rows(_doc_shard(doc, n), n, [doc, cls, bits], sorted_by=0))
+                yield from _blobs(SHARED, _rows(_doc_shard(doc, n), n, [doc, cls, bits], sorted_by=(0,)))
 
     return contexts.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(released(run), _BLOB_DDL)
 
@@ -815,7 +853,7 @@ def _pressed(rows: DataFrame) -> DataFrame:
     ddl = f"doc bigint, text binary, row {rows.schema['row'].dataType.simpleString()}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1).compress
+        press = zstandard.ZstdCompressor(level=5).compress
         for batch in batches:
             text = pa.array([press(t) for t in batch.column(1).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), text, batch.column(2)], names=["doc", "text", "row"])

@@ -109,6 +109,37 @@ def test_windows_are_told_apart_by_bytes(batch):
     assert all((w.string[1:] >= w.string[:-1]).all() for w in family.levels) and len(family.levels) <= 11
 
 
+def test_open_windows_travel_small():
+    """Of an anchor's context only open windows go along, in one compressed run for each shard; nothing of them is lost."""
+    rnd, rng = random.Random(8), np.random.default_rng(8)
+    words = [f"word{i} " for i in range(300)]
+    texts = ["".join(rnd.choices(words, k=40)).encode() for _ in range(40)]
+    rows, size = [], 0
+    for _, _, _, s in repeats.pieces(texts):
+        at = np.flatnonzero((s.left == 30) & (s.right == 50))
+        bits = np.uint64(1) << rng.integers(0, 31, len(at)).astype(np.uint64)
+        rows.append((s.unit[at], s.at[at], s.key[at], s.cls[at], s.unit[at].astype(np.uint64), s.left[at], bits, repeats._context(s, at)))
+    anchors = repeats.Open(rows).once()[0]
+
+    def told(anchors):
+        w = anchors.windows()
+        return sorted(zip(*(x.tolist() for x in (w.string, w.doc, w.cls, w.place)), strict=True))
+
+    back = []
+    for _, blob in anchors.blobs(8):
+        size += len(blob)
+        back += told(repeats.Open.read(blob))
+    assert sorted(back) == told(anchors) and len(back) == len(anchors.doc) > 300
+    assert size < 0.75 * len(anchors.doc) * (repeats.REACH + 8)
+    gone = np.arange(len(texts[0])) < 200
+    sent = repeats._blanked(texts[0], gone, b"")
+    assert zstandard.decompress(sent) == b"\0" * 200 + texts[0][200:] and repeats._blanked(texts[0], gone & False, b"as it is") == b"as it is"
+    few, many = [rng.integers(0, 99, n).astype(np.uint64) for n in (20, 5000)]
+    for columns in ([few, few], [many, many]):
+        assert all((a == b).all() for a, b in zip(repeats._unsqueeze(repeats._squeeze(*columns)), columns, strict=True))
+    assert len(repeats._squeeze(few, few)) < 120
+
+
 def test_plain_segments_are_told_many_at_once():
     """Each segment is looked at alone only where its neighbours are not all plain."""
     encoder, looked = encoding.LibraryEncoder(BYTE), []
