@@ -2,8 +2,8 @@
 
 Texts with the same words are one member.  A member has several SimHash
 fingerprints of its shingles.  Members whose fingerprints of one kind are close
-are found by ``simhash.fingerprint_links``, at the anchors of its covering code;
-what such links connect is a candidate group, and only members of a group that
+are found by ``simhash.fingerprint_links``, by whole runs of bits and then at the
+anchors of its covering code; what such links connect is a candidate group, and only members of a group that
 pass an exact comparison of their shingle sets are linked.
 """
 
@@ -22,7 +22,7 @@ from dirsync.session import materialise
 
 from .common import release_memory, released, text_bytes
 from .components import components
-from .simhash import fingerprint_links, shingle_hashes
+from .simhash import fingerprint_links, own_runs, shingle_hashes
 
 WORDS, LEAST = 5, 0.8
 #: At a similarity of 0.8 a bit differs with a chance of 0.15, so about 10 of 64 do: a pair may miss in one fingerprint, seldom in all four.
@@ -138,18 +138,35 @@ ROW = ["row0", "row1"]
 
 
 def close_members(members: DataFrame) -> DataFrame:
-    """a, b: links between members that connect those with a fingerprint of one kind in common but for ``NEAR`` bits."""
-    links = []
+    """a, b: links between members that connect those with a fingerprint of one kind in common but for ``NEAR`` bits.
+
+    First those that have a whole run of bits in common are connected, at three
+    places each; the search at all anchors then gives only links between groups
+    that this leaves apart.  So a dense group gives few links, not one for each
+    anchor of each member.
+    """
+    kinds, links = [], []
     for kind in range(PRINTS):
         own = members.select(F.col("prints")[kind].alias("fp"), "member")
         classes = own.groupBy("fp").agg(F.min("member").alias("first"))
-        end = lambda c: classes.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_first"))  # noqa: B023, E731
-        near = fingerprint_links(classes, NEAR).join(end("a"), "a").join(end("b"), "b")
-        links += [near.select(F.col("a_first").alias("a"), F.col("b_first").alias("b"))]
-        links += [own.join(classes, "fp").where("member != first").select(F.col("first").alias("a"), F.col("member").alias("b"))]
+        kinds.append(classes)
+        links.append(_ends(fingerprint_links(classes, NEAR, own_runs), classes, "first"))
+        links.append(own.join(classes, "fp").where("member != first").select(F.col("first").alias("a"), F.col("member").alias("b")))
+    known = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "first").withColumnRenamed("component", "known")
+    known = materialise(known, "close")
+    links = [known.where("first != known").select(F.col("known").alias("a"), F.col("first").alias("b"))]
+    for classes in kinds:
+        classes = classes.join(known, "first", "left").withColumn("group", F.coalesce("known", "first"))
+        links.append(_ends(fingerprint_links(classes, NEAR), classes, "group"))
     return reduce(DataFrame.unionByName, links).distinct()
 
 
+def _ends(found: DataFrame, classes: DataFrame, member: str) -> DataFrame:
+    """Links between fingerprints as links between the members in that column."""
+    end = lambda c: classes.select(F.col("fp").alias(c), F.col(member).alias(f"{c}_member"))
+    return found.join(end("a"), "a").join(end("b"), "b").select(F.col("a_member").alias("a"), F.col("b_member").alias("b"))
+
+
 def near_copy_links(docs: DataFrame, members: DataFrame, text_col: str, words: int, least: float) -> DataFrame:
     """a, b: links between close members that connect what ``least`` connects; a task holds the sets of one group at a time."""
 

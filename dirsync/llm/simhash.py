@@ -37,6 +37,8 @@ CODE_BITS, RADIUS = 15, 1
 _BLOCK = 256
 #: Rows of a bucket up to which all pairs are compared in steps over many buckets.
 _WIDE = 4096
+#: Stands for a null in ``known``.
+_UNKNOWN = -(2**63)
 
 
 def shingle_hashes(text: bytes, width: int = WORDS) -> np.ndarray:
@@ -112,6 +114,12 @@ def anchors(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(owners), np.concatenate(keys)
 
 
+def own_runs(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index into fp, key) for the fingerprint's own word in every run."""
+    words = [((fp >> np.uint64(first)) & np.uint64((1 << length) - 1)) | np.uint64(run << 32) for run, (first, length) in enumerate(RUNS)]
+    return np.tile(np.arange(len(fp)), len(RUNS)), np.concatenate(words).astype(np.int64)
+
+
 def spanning(fp: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs that connect the fingerprints of a bucket as all links within the threshold do.
 
@@ -154,48 +162,58 @@ def with_links(key: np.ndarray, fp: np.ndarray, threshold: int = THRESHOLD) -> n
     return found
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Runs of whole buckets, from rows (anchor, fp) that come sorted by anchor."""
-    held_key, held_fp = np.zeros(0, np.int64), np.zeros(0, np.int64)
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Runs of whole buckets, from rows (anchor, fp, known or nothing) that come sorted by anchor."""
+    held: list[np.ndarray] = []
     for batch in batches:
-        key = np.concatenate([held_key, batch.column(0).to_numpy()])
-        fp = np.concatenate([held_fp, batch.column(1).to_numpy()])
-        whole = np.searchsorted(key, key[-1]) if len(key) else 0
+        own = [c.fill_null(_UNKNOWN).to_numpy(zero_copy_only=False) for c in batch.columns]
+        rows = [np.concatenate(c) for c in zip(held, own, strict=True)] if held else own
+        whole = np.searchsorted(rows[0], rows[0][-1]) if len(rows[0]) else 0
         if whole:
-            yield key[:whole], fp[:whole]
-        held_key, held_fp = key[whole:], fp[whole:]
-    if len(held_key):
-        yield held_key, held_fp
+            yield [c[:whole] for c in rows]
+        held = [c[whole:] for c in rows]
+    if held and len(held[0]):
+        yield held
 
 
-def fingerprint_links(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def fingerprint_links(prints: DataFrame, threshold: int = THRESHOLD, meet=anchors) -> DataFrame:
     """a, b: links between distinct fingerprints (column ``fp``) that connect what the threshold connects.
 
     All within THRESHOLD bits are found, and those of a higher threshold that have
     a run with at most two differing bits: up to eight bits all have one, as the
     word between two such runs is within a bit of an anchor.  A task holds one
     anchor's distinct fingerprints at a time.
+
+    Fingerprints with the same value in a column ``known`` are connected by other
+    links, and no links between them come out; nulls are not known.  With ``meet``
+    as ``own_runs`` only those are compared that have a whole run in common.
     """
+    more = [c for c in prints.columns if c == "known"]
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy()
-            owner, key = anchors(fp.view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[owner])], names=["anchor", "fp"])
+            owner, key = meet(fp.view(np.uint64))
+            rest = [batch.column(1).take(pa.array(owner))] if more else []
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[owner]), *rest], names=["anchor", "fp", *more])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, fp in _buckets(batches):
+        for key, fp, *rest in _buckets(batches):
             linked = with_links(key, fp.view(np.uint64), threshold)
             key, fp = key[linked], fp[linked].view(np.uint64)
+            known = rest[0][linked] if rest else np.full(len(fp), _UNKNOWN)
             starts, found = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]), []
             for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(key)]):
-                own = np.sort(fp[a:b])
-                found.append([own[i] for i in spanning(own, threshold)])
+                order = a + np.argsort(fp[a:b])
+                i, j = (order[k] for k in spanning(fp[order], threshold))
+                new = (known[i] != known[j]) | (known[i] == _UNKNOWN)
+                found.append((fp[i[new]], fp[j[new]]))
             if found:
                 a, b = (np.concatenate(x).view(np.int64) for x in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    at_anchors = prints.select("fp").mapInArrow(released(replicate), "anchor bigint, fp bigint")
+    ddl = ", ".join(f"{c} bigint" for c in ("anchor", "fp", *more))
+    at_anchors = prints.select("fp", *more).mapInArrow(released(replicate), ddl)
     sorted_ = at_anchors.repartition("anchor").sortWithinPartitions("anchor")
     return sorted_.mapInArrow(released(compare), "a bigint, b bigint").distinct()
 

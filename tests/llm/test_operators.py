@@ -340,6 +340,40 @@ def test_near_copies_come_from_close_fingerprints(spark):
     assert {tuple(sorted(r)) for r in links} == {(i, i + 1) for i in range(0, 200, 2)}
 
 
+def test_a_dense_group_gives_few_links(spark):
+    """Near copies of one text meet at very many anchors; what connects them already gives no more links."""
+    rng = np.random.default_rng(7)
+    base, weak = rng.integers(-(2**62), 2**62, nearcopies.PRINTS), rng.integers(0, 62, (nearcopies.PRINTS, 14))
+    prints = np.concatenate([np.tile(base, (900, 1)), rng.integers(-(2**62), 2**62, (100, nearcopies.PRINTS))])
+    for i in range(900):
+        for kind in range(nearcopies.PRINTS):
+            prints[i, kind] ^= sum(1 << int(b) for b in set(rng.choice(weak[kind], 6)))
+    members = spark.createDataFrame(list(enumerate(prints.tolist())), "member bigint, prints array<bigint>")
+    links = np.array([sorted(r) for r in nearcopies.close_members(members).collect()])
+    assert len(links) < 2 * len(prints)
+    linked, close = np.zeros((2, 1000, 1000), bool)
+    linked[links[:, 0], links[:, 1]] = linked[links[:, 1], links[:, 0]] = True
+    for kind in range(nearcopies.PRINTS):
+        at = {fp: i for i, fp in enumerate(prints[:, kind].tolist())}
+        for r in simhash.fingerprint_links(members.select(F.col("prints")[kind].alias("fp")).distinct(), nearcopies.NEAR).collect():
+            close[at[r.a], at[r.b]] = close[at[r.b], at[r.a]] = True
+        close |= prints[:, kind][:, None] == prints[:, kind]
+    assert brute_components(linked) == brute_components(close)
+
+
+def test_links_between_known_groups_only(spark):
+    """Fingerprints that are known to be connected give no links among themselves, nulls count as not known."""
+    rows = [(0, 5), (1, 5), (3, 6), (7, None), (15, None), (1 << 40, 8)]
+    prints = spark.createDataFrame(rows, "fp bigint, known bigint")
+    group = {0: 5, 1: 5, 3: 6, 1 << 40: 8}
+    found = [(r.a, r.b) for r in simhash.fingerprint_links(prints, 1).collect()]
+    assert {tuple(sorted(group.get(x, -x) for x in r)) for r in found} == {(5, 6), (5, 8), (-7, 6), (-15, -7)}
+    none = prints.withColumn("known", F.lit(5).cast("bigint"))
+    assert simhash.fingerprint_links(none, 1).collect() == []
+    runs = [(r.a, r.b) for r in simhash.fingerprint_links(prints.drop("known"), 1, simhash.own_runs).collect()]
+    assert {tuple(sorted(r)) for r in runs} == {(0, 1), (1, 3), (3, 7), (7, 15), (0, 1 << 40)}
+
+
 def test_rows_with_links_equal_brute_force():
     rng = np.random.default_rng(4)
     key = np.sort(rng.integers(0, 60, 500))
