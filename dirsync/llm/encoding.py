@@ -16,6 +16,7 @@ from functools import lru_cache
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
 
 from .common import ranges, slices
 
@@ -33,6 +34,8 @@ _WORD = f"'?[{_LETTERS}]+(?:'[{_LETTERS}]+)*|[!-/:-@[-`{{-~]+"
 _SPACED = re.compile(f"[ \\n]?(?:{_WORD})")
 _BARE = re.compile(_WORD)
 _GAP = re.compile(r"(?<=\S)(?=[ \n])")
+#: Of each byte of a plain text: 0 gap, 1 letter (two bytes for those of Latin-1), 2 punctuation.
+_BYTE_KINDS = np.array([0 if b in b" \n" else 1 if b > 127 or chr(b).isalnum() else 2 for b in range(256)], np.uint8)
 
 
 def is_plain(text: str) -> bool:
@@ -46,9 +49,41 @@ def cut_before_space(text: str) -> list[str]:
     space behind it, nor from a letter into punctuation or back, but for the
     apostrophe of a contraction.
     """
-    if is_plain(text) and not text.endswith((" ", "\n")) and not any(gap in text for gap in _DOUBLE_GAPS):
-        return _SPACED.findall(text)
-    return [s for s in _GAP.split(text) if s]
+    return _SPACED.findall(text) if _evenly_spaced(text) else [s for s in _GAP.split(text) if s]
+
+
+def _evenly_spaced(text: str) -> bool:
+    """Plain, with a word behind each white space."""
+    return is_plain(text) and not text.endswith((" ", "\n")) and not any(gap in text for gap in _DOUBLE_GAPS)
+
+
+def distinct_before_space(texts: list[str], whole: re.Pattern) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct segments of ``cut_before_space``, the number of each segment in their order, and how many each text has.
+
+    Evenly spaced texts are cut on their bytes, all at once; a text with a match of ``whole`` is one segment.
+    """
+    pieces = [t.encode() for t in texts]
+    ends = np.fromiter(map(len, pieces), np.int64, len(pieces)).cumsum()
+    begins, blob = np.concatenate([[0], ends[:-1]])[: len(ends)], b"".join(pieces)
+    data = np.frombuffer(blob, np.uint8)
+    if not len(data):
+        return [], np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+    first = np.zeros(len(data) + 1, bool)
+    first[begins] = first[-1] = True
+    kind = np.append(_BYTE_KINDS[data], np.uint8(0))
+    # an apostrophe before a letter is a part of the word, unless punctuation stands before it
+    quote = np.flatnonzero(data == ord("'"))
+    kind[quote[(first[quote] | (kind[quote - 1] != 2)) & (kind[quote + 1] == 1) & ~first[quote + 1]]] = 1
+    cut = first.copy()
+    cut[1:-1] |= (kind[1:-1] != kind[:-2]) & (kind[:-2] != 0)
+    for i, text in enumerate(texts):
+        if whole.search(text) or not _evenly_spaced(text):
+            own = _whole(text) if whole.search(text) else cut_before_space(text)
+            cut[begins[i] : ends[i]] = False
+            cut[begins[i] + np.cumsum([0, *(len(s.encode()) for s in own[:-1])])[: len(own)]] = True
+    offsets = np.flatnonzero(cut)
+    segments = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(blob)).dictionary_encode()
+    return segments.dictionary.to_pylist(), segments.indices.to_numpy(), np.diff(np.searchsorted(offsets, np.append(begins, len(data))))
 
 
 def cut_at_space(text: str) -> list[str]:
@@ -89,9 +124,15 @@ class SegmentEncoder:
                 gc.enable()
         return np.concatenate(ids), np.concatenate(counts)
 
-    def _encode(self, texts):
+    def _segments(self, texts: list[str]) -> tuple[list[str], np.ndarray | None, np.ndarray]:
+        """Segments, which of them stand in the texts one after another (None: each once), and how many each text has."""
+        if self.cut_kind is cut_before_space:
+            return distinct_before_space(texts, self.special)
         cut = [self.cut(t) for t in texts]
-        flat = list(chain.from_iterable(cut))
+        return list(chain.from_iterable(cut)), None, np.fromiter(map(len, cut), np.int64, len(cut))
+
+    def _encode(self, texts):
+        flat, which, per_text = self._segments(texts)
         codes = np.fromiter(map(self.known.get, flat, repeat(-1)), np.int64, len(flat))
         unknown = np.flatnonzero(codes < 0)
         missing = list({flat[i] for i in unknown.tolist()})
@@ -106,11 +147,12 @@ class SegmentEncoder:
             self.flat.extend(chain.from_iterable(learned))
             self.starts.frombytes(upto.tobytes())
             codes[unknown] = list(map(self.known.__getitem__, map(flat.__getitem__, unknown.tolist())))
+        codes = codes if which is None else codes[which]
         starts, stored = np.frombuffer(self.starts, np.int64), np.frombuffer(self.flat or array("I", [0]), np.uint32)
         first, size = starts[codes], starts[codes + 1] - starts[codes]
         ids = stored[ranges(first, size)]
         upto = np.concatenate([[0], np.cumsum(size)])
-        ends = np.cumsum([0, *map(len, cut)])
+        ends = np.concatenate([[0], np.cumsum(per_text)])
         return ids, np.diff(upto[ends])
 
 

@@ -19,12 +19,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import text_bytes
+from .common import released, small_batches, text_bytes
 from .encoding import library_encoder
 
 BLOCK_IDS = 65_536
 #: Ids after which a segment ends with the document at hand.
 SEGMENT_IDS = 1 << 20
+#: Bytes of text that a task holds as Python strings.
+_AT_ONCE = 8_000_000
 
 _PLANES = pa.list_(pa.binary())
 _BLOCK = pa.struct([("first", pa.int64()), ("n", pa.int32()), ("planes", _PLANES)])
@@ -94,7 +96,7 @@ def write_token_table(
         encoder = library_encoder(tokenizer)
         shard, segment = TaskContext.get().partitionId(), 0
         docs, counts, parts, held = [], [], [], 0
-        for batch in batches:
+        for batch in small_batches(batches, 1, _AT_ONCE):
             names = batch.column(0).to_pylist()
             ids, sizes = encoder.encode(batch.column(1).cast(pa.string()).to_pylist())
             at = 0
@@ -112,7 +114,7 @@ def write_token_table(
     text = text_bytes(F.col(text_col))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
     rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    rows.mapInArrow(encode, _SEGMENT_DDL).write.option("compression", "uncompressed").parquet(path)
+    rows.mapInArrow(released(encode), _SEGMENT_DDL).write.option("compression", "uncompressed").parquet(path)
 
 
 def read_token_table(spark: SparkSession, path: str) -> DataFrame:
@@ -138,7 +140,7 @@ def read_token_table(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     ddl = "shard int, segment int, doc_id bigint, in_segment bigint, n_tokens bigint, ids binary"
-    return spark.read.schema(_SEGMENT_DDL).parquet(path).mapInArrow(decode, ddl)
+    return spark.read.schema(_SEGMENT_DDL).parquet(path).mapInArrow(released(decode), ddl)
 
 
 def with_starts(rows: DataFrame, path: str) -> DataFrame:

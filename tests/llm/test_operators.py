@@ -154,6 +154,21 @@ def test_plain_segments_are_told_many_at_once():
     assert len(looked) < 800
 
 
+def test_texts_are_cut_on_their_bytes():
+    """Many texts at once give the segments of each alone, every distinct one once."""
+    rnd = random.Random(8)
+    bits = [" ", "\n", "a", "b's", "'re", "'", "''", "12", "é", "×", "<|endoftext|>", "!!", "中", ".", "the", " the", "'a'b'", "\t", "\x00", "\x7f"]
+    texts = ["", "'", "a", "'a", "a'", " 'a", "'", "a", "", "\n"] + ["".join(rnd.choices(bits, k=rnd.randint(0, 9))) for _ in range(20_000)]
+    encoder = encoding.LibraryEncoder(BYTE)
+    want = [encoder.cut(t) for t in texts]
+    assert sum(map(encoding._evenly_spaced, texts)) > 3000
+    segments, which, counts = encoding.distinct_before_space(texts, encoder.special)
+    assert len(segments) == len(set(segments)) and counts.tolist() == list(map(len, want))
+    assert [segments[k] for k in which.tolist()] == [s for w in want for s in w]
+    for none in ([], ["", ""]):
+        assert encoder.encode(none)[1].tolist() == [0] * len(none)
+
+
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_segments_give_the_ids_of_whole_texts(path):
     rnd = random.Random(2)
