@@ -78,6 +78,8 @@ def classifier(dictionaries: dict[str, bytes]):
 
     ``und`` with score 0 for null texts, texts without a letter, and where nothing
     was learned.  Of equal sizes the language that comes first in the alphabet wins.
+    A text is judged once, whatever reads the result: marked as not deterministic, the
+    function is not copied into a filter on it, which would take a second worker a task.
     """
     langs = sorted(dictionaries)
     names = ["lang_pred", "score", "sure"]
@@ -108,7 +110,7 @@ def classifier(dictionaries: dict[str, bytes]):
         columns = [pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array([s >= MIN_SCORE for s in scores], pa.bool_())]
         return pa.StructArray.from_arrays(columns, names)
 
-    return judge
+    return judge.asNondeterministic()
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col="doc_id", text_col="text") -> DataFrame:

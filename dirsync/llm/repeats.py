@@ -360,13 +360,20 @@ def make_arrays(docs: DataFrame, n: int) -> DataFrame:
                 keep = (inside >= low[s.unit]) & (inside < high[s.unit])
                 found.append((s.key[keep], s.cls[keep], doc[np.array(numbers)[s.unit[keep]]]))
             columns = [np.concatenate(c) for c in zip(*found, strict=True)]
+            # what is no longer read goes before the next copy: a worker holds a few columns, not all steps of them
+            del texts, found, s
             if not len(columns[0]):
                 continue
-            array, (cls, d) = settle(*_distinct(*columns))
+            columns = _distinct(*columns)
+            array, (cls, d) = settle(*columns)
+            del columns
             if len(cls):
                 yield from _by_document(COVERED, n, d, cls)
+            del cls, d
             order = np.argsort(array.key, kind="stable")
-            yield from _blobs(ARRAY, _arrays(array.key[order], array.cls[order], array.doc[order], n))
+            columns = array.key[order], array.cls[order], array.doc[order]
+            del array, order
+            yield from _blobs(ARRAY, _arrays(*columns, n))
 
     return docs.mapInArrow(released(run), _BLOB_DDL)
 

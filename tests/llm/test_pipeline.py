@@ -4,8 +4,11 @@ from collections import Counter
 
 import duckdb
 import corpus_pipeline
+from dirsync.llm import language
+from dirsync.llm.common import held_out
 from dirsync.llm.oracle import ORACLES
 from dirsync.llm.queries import QUERIES
+from pyspark.sql import functions as F
 
 
 def test_stages_keep_columns_and_clean_documents(spark, sf_dir):
@@ -26,6 +29,16 @@ def test_stages_keep_columns_and_clean_documents(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
 
 
+def test_language_judges_a_text_once(spark, sf_dir):
+    """A filter on the judgement used to get a copy of the Python function: two workers a task, and each text compressed twice."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = corpus_pipeline.keep_language(spark, docs, sf_dir)
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    learned = language.train(docs, ~held_out(F.col("doc_id")))
+    sure = language.identify(docs, learned).where("sure").select("doc_id", "lang_pred")
+    assert Counter(map(tuple, kept.select("doc_id", "lang").collect())) == Counter(map(tuple, sure.collect()))
+
+
 def test_sql_agrees(spark, sf_dir):
     db = duckdb.connect()
     for name in ("documents", "benchmark"):
