@@ -20,15 +20,21 @@ from pyspark.sql import functions as F
 
 from dirsync.session import materialise
 
-from .common import release_memory, released, text_bytes
+from .common import ranges, release_memory, released, slices, text_bytes
 from .components import components
 from .simhash import fingerprint_links, own_runs, shingle_hashes
 
 WORDS, LEAST = 5, 0.8
 #: At a similarity of 0.8 a bit differs with a chance of 0.15, so about 10 of 64 do: a pair may miss in one fingerprint, seldom in all four.
 PRINTS, NEAR = 4, 10
+#: Of the bits of all fingerprints about 39 differ then, in the smallest sets 48, six more or less; of texts that have nothing in common about 120.
+NEAR_ALL = 72
+#: Links for each fingerprint up to which all those of an anchor are judged by the bits of all fingerprints.
+EACH = 16
 #: Shingles that are hashed at once.
 _BLOCK = 4096
+#: Shingles of other sets that a set is compared with at once.
+_AT_ONCE = 1_000_000
 
 
 def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -101,30 +107,58 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[
 
 
 def set_links(sets: list[np.ndarray], least: float = LEAST) -> tuple[list[int], list[int]]:
-    """Index pairs that connect the sets as all pairs with a Jaccard similarity of ``least`` or more do."""
+    """Index pairs that connect the sets as all pairs with a Jaccard similarity of ``least`` or more do.
+
+    Such a pair has a shingle in common among the rarest ones of each, of which a
+    set has as many as it may lack and one more.  So a set is compared with those
+    that it meets there often enough and that are not reached yet.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    if not sizes.sum():
+        return [], []
+    values, flat, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(values), np.int32)
+    rank[np.argsort(times, kind="stable")] = np.arange(len(values), dtype=np.int32)
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
+    flat = rank[flat]
+    flat = flat[np.lexsort((flat, owner))]
+    starts = np.cumsum(sizes) - sizes
+    rare = np.where(sizes > 0, sizes - np.ceil(least * sizes - 1e-6).astype(np.int64) + 1, 0).clip(0, sizes)
+    at = ranges(starts, rare)
+    at = at[np.argsort(flat[at], kind="stable")]
+    own, held = np.zeros(len(values), bool), 0
+    left, first = np.ones(len(sets), bool), 0
     out_a, out_b, queue = [], [], []
-    left = np.arange(len(sets))
-    sizes = np.array([len(s) for s in sets])
-    flat, owner = np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.repeat(left, sizes)
-    while len(left):
+    while queue or first < len(sets):
+        if not held or left.sum() < 0.8 * held:
+            at = at[left[owner[at]]]
+            meeting, upto, held = owner[at], np.cumsum(np.bincount(flat[at], minlength=len(values))), max(1, left.sum())
         if not queue:
-            queue.append(left[0])
-            left = left[1:]
+            if left[first]:
+                left[first] = False
+                queue.append(first)
+            first += 1
+            continue
         i = queue.pop()
-        own = sets[i]
-        if len(own):
-            at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
-            common = np.bincount(owner[own[at] == flat], minlength=len(sets))[left]
-            hit = common >= least * (len(own) + sizes[left] - common) - 1e-9
-            if hit.any():
-                out_a += [int(i)] * int(hit.sum())
-                out_b += left[hit].tolist()
-                queue += left[hit].tolist()
-                left = left[~hit]
-        keep = np.zeros(len(sets), bool)
-        keep[left] = True
-        if keep[owner].sum() < 0.8 * len(flat):
-            flat, owner = flat[keep[owner]], owner[keep[owner]]
+        mine = flat[starts[i] : starts[i] + sizes[i]]
+        lists = mine[: rare[i]]
+        begin = np.where(lists > 0, upto[lists - 1], 0)
+        times = np.bincount(meeting[ranges(begin, upto[lists] - begin)], minlength=len(sets))
+        met = np.flatnonzero((times > 0) & left)
+        # behind the rare shingles of the one or the other, no more than all of it can be common
+        behind = np.maximum(sizes[i] - rare[i], sizes[met] - rare[met])
+        met = met[times[met] + behind >= least / (1 + least) * (sizes[i] + sizes[met]) - 1e-6]
+        own[mine] = True
+        for part in slices(sizes[met].tolist(), _AT_ONCE):
+            some = met[part]
+            before = np.cumsum(sizes[some]) - sizes[some]
+            common = np.add.reduceat(own[flat[ranges(starts[some], sizes[some])]], before, dtype=np.int64)
+            hit = some[common >= least * (sizes[i] + sizes[some] - common) - 1e-9]
+            out_a += [i] * len(hit)
+            out_b += hit.tolist()
+            queue += hit.tolist()
+            left[hit] = False
+        own[mine] = False
     return out_a, out_b
 
 
@@ -137,38 +171,53 @@ def _digests(columns: list[str]) -> list:
 ROW = ["row0", "row1"]
 
 
-def close_members(members: DataFrame) -> DataFrame:
+def close_members(members: DataFrame, near_all: int = 64 * PRINTS) -> DataFrame:
     """a, b: links between members that connect those with a fingerprint of one kind in common but for ``NEAR`` bits.
 
+    Links whose ends differ in more than ``near_all`` bits of all kinds are left out.
     First those that have a whole run of bits in common are connected, at three
-    places each; the search at all anchors then gives only links between groups
-    that this leaves apart.  So a dense group gives few links, not one for each
-    anchor of each member.
+    places each; the search at all anchors then gives only links between groups that
+    this leaves apart.  So a dense group gives few links, not one for each anchor of
+    each member.
     """
     kinds, links = [], []
     for kind in range(PRINTS):
         own = members.select(F.col("prints")[kind].alias("fp"), "member")
         classes = own.groupBy("fp").agg(F.min("member").alias("first"))
         kinds.append(classes)
-        links.append(_ends(fingerprint_links(classes, NEAR, own_runs), classes, "first"))
+        links.append(_ends(fingerprint_links(classes, NEAR, own_runs, EACH), classes))
         links.append(own.join(classes, "fp").where("member != first").select(F.col("first").alias("a"), F.col("member").alias("b")))
-    known = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "first").withColumnRenamed("component", "known")
+    near = _near_in_all(reduce(DataFrame.unionByName, links), members, near_all)
+    known = components(near).withColumnRenamed("node", "first").withColumnRenamed("component", "known")
     known = materialise(known, "close")
-    links = [known.where("first != known").select(F.col("known").alias("a"), F.col("first").alias("b"))]
+    links = []
     for classes in kinds:
-        classes = classes.join(known, "first", "left").withColumn("group", F.coalesce("known", "first"))
-        links.append(_ends(fingerprint_links(classes, NEAR), classes, "group"))
-    return reduce(DataFrame.unionByName, links).distinct()
+        classes = classes.join(known, "first", "left")
+        links.append(_ends(fingerprint_links(classes, NEAR, each=EACH), classes))
+    near = _near_in_all(reduce(DataFrame.unionByName, links), members, near_all)
+    return known.where("first != known").select(F.col("known").alias("a"), F.col("first").alias("b")).unionByName(near).distinct()
 
 
-def _ends(found: DataFrame, classes: DataFrame, member: str) -> DataFrame:
-    """Links between fingerprints as links between the members in that column."""
-    end = lambda c: classes.select(F.col("fp").alias(c), F.col(member).alias(f"{c}_member"))
+def _ends(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between fingerprints as links between the first members that have them."""
+    end = lambda c: classes.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_member"))
     return found.join(end("a"), "a").join(end("b"), "b").select(F.col("a_member").alias("a"), F.col("b_member").alias("b"))
 
 
+def _near_in_all(links: DataFrame, members: DataFrame, near_all: int) -> DataFrame:
+    """The links whose ends differ in at most ``near_all`` bits of all their fingerprints."""
+    end = lambda c: members.select(F.col("member").alias(c), F.col("prints").alias(f"{c}_prints"))
+    differ = sum((F.bit_count(F.col("a_prints")[k].bitwiseXOR(F.col("b_prints")[k])) for k in range(PRINTS)), F.lit(0))
+    pairs = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.join(end("a"), "a").join(end("b"), "b").where(differ <= near_all).select("a", "b")
+
+
 def near_copy_links(docs: DataFrame, members: DataFrame, text_col: str, words: int, least: float) -> DataFrame:
-    """a, b: links between close members that connect what ``least`` connects; a task holds the sets of one group at a time."""
+    """a, b: links between close members that connect what ``least`` connects; a task holds the sets of one group at a time.
+
+    Members close by chance in one kind do not count: their number grows with the
+    square of the texts, and their links would make one group of very many.
+    """
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for own, values in _runs(batches):
@@ -176,7 +225,7 @@ def near_copy_links(docs: DataFrame, members: DataFrame, text_col: str, words: i
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(own[a]), pa.array(own[b])], names=["a", "b"])
 
-    groups = components(close_members(members)).select(F.col("component").alias("meeting"), F.col("node").alias("member"))
+    groups = components(close_members(members, NEAR_ALL)).select(F.col("component").alias("meeting"), F.col("node").alias("member"))
     wanted = groups.join(members.select("member", "row.*"), "member")
     texts = docs.select(*_digests(docs.columns), text_bytes(F.col(text_col)).alias("t")).join(wanted, ROW)
     texts = texts.dropDuplicates(["member"])

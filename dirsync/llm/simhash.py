@@ -35,8 +35,10 @@ RUNS = ((0, 21), (21, 21), (42, 22))
 CODE_BITS, RADIUS = 15, 1
 #: Fingerprints that are compared with those of a bucket at once.
 _BLOCK = 256
-#: Rows of a bucket up to which all pairs are compared in steps over many buckets.
-_WIDE = 4096
+#: Rows of a bucket up to which all pairs are compared, and up to which that is done in steps over many buckets.
+_WIDE, _NARROW = 4096, 32
+#: Rows of a bucket that are compared with all behind them at once.
+_ROWS = 128
 #: Stands for a null in ``known``.
 _UNKNOWN = -(2**63)
 
@@ -149,19 +151,54 @@ def spanning(fp: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np
     return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (none, none)
 
 
-def with_links(key: np.ndarray, fp: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
-    """Which rows, sorted by key, have a link in their bucket; all of a bucket with more than ``_WIDE`` rows count as such."""
+def _new(known: np.ndarray | None, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which rows i and j are not known to be connected."""
+    return np.ones(len(i), bool) if known is None else (known[i] != known[j]) | (known[i] == _UNKNOWN)
+
+
+def _close_pairs(fp: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs i < j within the threshold, some rows at a time."""
+    for a in range(0, len(fp), _ROWS):
+        close = np.bitwise_count(fp[a : a + _ROWS, None] ^ fp[None, a:]) <= threshold
+        np.fill_diagonal(close, False)
+        linked = np.flatnonzero(close.any(axis=1))
+        i, j = np.nonzero(close[linked])
+        i = linked[i]
+        yield i[i < j] + a, j[i < j] + a
+
+
+def with_links(key: np.ndarray, fp: np.ndarray, threshold: int = THRESHOLD, known: np.ndarray | None = None) -> np.ndarray:
+    """Which rows, sorted by key, have a link in their bucket that is not ``known``; all of a bucket with more than ``_WIDE`` rows count as such."""
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     sizes = np.diff(np.append(starts, len(key)))
     found, end = np.repeat(sizes > _WIDE, sizes), np.repeat(starts + sizes, sizes)
-    at, step = np.flatnonzero(~found), 1
+    at, step = np.flatnonzero(np.repeat(sizes <= _NARROW, sizes)), 1
     while len(at := at[at + step < end[at]]):
         close = at[np.bitwise_count(fp[at] ^ fp[at + step]) <= threshold]
+        close = close[_new(known, close, close + step)]
         found[close] = found[close + step] = True
         step += 1
+    for k in np.flatnonzero((sizes > _NARROW) & (sizes <= _WIDE)).tolist():
+        a = starts[k]
+        for i, j in _close_pairs(fp[a : a + sizes[k]], threshold):
+            new = _new(known, a + i, a + j)
+            found[a + i[new]] = found[a + j[new]] = True
     return found
 
 
+def _all_links(fp: np.ndarray, known: np.ndarray, threshold: int, most: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Index pairs of all links of a bucket that are not known, None if there are more than ``most``."""
+    out_a, out_b, n = [], [], 0
+    for i, j in _close_pairs(fp, threshold):
+        new = _new(known, i, j)
+        out_a.append(i[new])
+        out_b.append(j[new])
+        n += len(out_a[-1])
+        if n > most:
+            return None
+    return np.concatenate(out_a), np.concatenate(out_b)
+
+
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """Runs of whole buckets, from rows (anchor, fp, known or nothing) that come sorted by anchor."""
     held: list[np.ndarray] = []
@@ -176,7 +213,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield held
 
 
-def fingerprint_links(prints: DataFrame, threshold: int = THRESHOLD, meet=anchors) -> DataFrame:
+def fingerprint_links(prints: DataFrame, threshold: int = THRESHOLD, meet=anchors, each: int = 0) -> DataFrame:
     """a, b: links between distinct fingerprints (column ``fp``) that connect what the threshold connects.
 
     All within THRESHOLD bits are found, and those of a higher threshold that have
@@ -186,7 +223,9 @@ def fingerprint_links(prints: DataFrame, threshold: int = THRESHOLD, meet=anchor
 
     Fingerprints with the same value in a column ``known`` are connected by other
     links, and no links between them come out; nulls are not known.  With ``meet``
-    as ``own_runs`` only those are compared that have a whole run in common.
+    as ``own_runs`` only those are compared that have a whole run in common.  All
+    links of a bucket come out, not only some that connect the same, where they are
+    at most ``each`` for each of its rows that has one.
     """
     more = [c for c in prints.columns if c == "known"]
 
@@ -199,13 +238,14 @@ def fingerprint_links(prints: DataFrame, threshold: int = THRESHOLD, meet=anchor
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, fp, *rest in _buckets(batches):
-            linked = with_links(key, fp.view(np.uint64), threshold)
+            linked = with_links(key, fp.view(np.uint64), threshold, *rest)
             key, fp = key[linked], fp[linked].view(np.uint64)
             known = rest[0][linked] if rest else np.full(len(fp), _UNKNOWN)
             starts, found = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]), []
             for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(key)]):
                 order = a + np.argsort(fp[a:b])
-                i, j = (order[k] for k in spanning(fp[order], threshold))
+                every = _all_links(fp[order], known[order], threshold, each * (b - a)) if each else None
+                i, j = (order[k] for k in every or spanning(fp[order], threshold))
                 new = (known[i] != known[j]) | (known[i] == _UNKNOWN)
                 found.append((fp[i[new]], fp[j[new]]))
             if found:

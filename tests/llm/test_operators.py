@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -376,6 +377,54 @@ def test_a_dense_group_gives_few_links(spark):
     assert brute_components(linked) == brute_components(close)
 
 
+def test_members_close_by_chance_are_left_out(spark):
+    """A fingerprint of one kind in common used to be enough, and such links grow with the square of the texts."""
+    rng = np.random.default_rng(8)
+    prints = rng.integers(-(2**62), 2**62, (200, nearcopies.PRINTS))
+    for i in range(0, 100, 2):  # close in all kinds, or in one
+        for kind in range(nearcopies.PRINTS if i % 4 else 1):
+            prints[i + 1, kind] = prints[i, kind] ^ sum(1 << int(b) for b in rng.choice(63, i % 9, replace=False))
+    members = spark.createDataFrame(list(enumerate(prints.tolist())), "member bigint, prints array<bigint>")
+    links = nearcopies.close_members(members, nearcopies.NEAR_ALL).collect()
+    assert {tuple(sorted(r)) for r in links} == {(i, i + 1) for i in range(2, 100, 4)}
+
+
+def test_all_links_of_a_sparse_bucket_come_out(spark):
+    prints = spark.createDataFrame([(0,), (1,), (3,)], "fp bigint")
+    assert len(simhash.fingerprint_links(prints, 2, simhash.own_runs).collect()) == 2
+    found = simhash.fingerprint_links(prints, 2, simhash.own_runs, each=1).collect()
+    assert {tuple(sorted((r.a, r.b))) for r in found} == {(0, 1), (0, 3), (1, 3)}
+
+
+def test_set_links_equal_brute_force():
+    rng = np.random.default_rng(9)
+    for n in (1, 5, 40, 80):
+        base, sets = rng.integers(0, 300, 30).astype(np.uint64), []
+        for _ in range(n):
+            s = base.copy() if rng.random() < 0.7 else rng.integers(0, 300, rng.integers(0, 30)).astype(np.uint64)
+            s[: rng.integers(0, 6)] = rng.integers(0, 300)
+            sets.append(np.unique(s))
+        a, b = nearcopies.set_links(sets)
+        found, close = np.zeros((2, n, n), bool)
+        found[a, b] = found[b, a] = True
+        for i in range(n):
+            for j in range(n):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                close[i, j] = i != j and both and both >= 0.8 * (len(sets[i]) + len(sets[j]) - both) - 1e-9
+        assert (found <= close).all() and brute_components(found) == brute_components(close)
+
+
+def test_sets_that_share_little_are_not_all_compared():
+    """Each set used to be compared with all that were left: two minutes here."""
+    rng = np.random.default_rng(10)
+    common = rng.integers(0, 2**62, 100).astype(np.uint64)
+    sets = [np.unique(np.append(common, rng.integers(0, 2**62, 300).astype(np.uint64))) for _ in range(4000)]
+    sets.append(sets[7][:390])
+    began = time.monotonic()
+    assert nearcopies.set_links(sets) == ([7], [4000])
+    assert time.monotonic() - began < 20
+
+
 def test_links_between_known_groups_only(spark):
     """Fingerprints that are known to be connected give no links among themselves, nulls count as not known."""
     rows = [(0, 5), (1, 5), (3, 6), (7, None), (15, None), (1 << 40, 8)]
