@@ -1,10 +1,13 @@
 """Near-duplicate vectors by hierarchical navigable small-world graphs, one per shard.
 
-Equal vectors are one member.  A shard's task builds a graph of its members, lets
-all members of all shards stream by as queries, and verifies what the graph finds
-by the cosine in double precision.  A query whose beam is full of links is asked
-again with a wider one; and if an audit of some queries against the whole shard
-misses links, all are.
+Equal vectors are one member.  Each two shards meet once: a shard's task lets its own
+members and those of half of the others stream by as queries.  An upper bound of the
+cosine, from a few directions of each vector and the length of what is left of it,
+leaves out queries and members that cannot have a link; no link is lost by that.  The
+task builds a graph of the members that are left, asks it for the queries that are
+left, and verifies what it finds by the cosine in double precision.  A query whose
+beam is full of links is asked again with a wider one; and if an audit of some
+queries against the whole graph misses links, all are.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ SHARDS, SHARD_VECTORS = 12, 20_000
 LINKS, BUILD_BEAM, BEAM = 12, 40, 48
 #: Queries that go through a graph together, and those of them that are audited.
 TOGETHER, AUDITED, MIN_RECALL = 192, 6, 0.99
+#: Directions that bound a cosine, pairs that are bounded at once, bytes of queries that wait for a graph.
+DIRECTIONS, BOUNDED, HELD = 24, 8_000_000, 32_000_000
 
 
 class Graph:
@@ -205,10 +210,83 @@ def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[other], nodes[label[other]]
 
 
+class Bound:
+    """Upper bounds of the cosines with unit vectors (rows of ``v``): of some directions exact, the rest as if it were parallel."""
+
+    def __init__(self, v: np.ndarray):
+        # the main directions, by the smaller of the two matrices
+        few = len(v) < v.shape[1]
+        axes = np.linalg.svd(v, full_matrices=False)[2].T if few else np.linalg.eigh(v.T @ v)[1][:, ::-1]
+        self.axes = axes[:, :DIRECTIONS]
+        self.v = self.cut(v)
+
+    def cut(self, unit: np.ndarray) -> np.ndarray:
+        part = unit @ self.axes
+        rest = np.sqrt(np.maximum(0, 1 - np.einsum("ij,ij->i", part, part)))
+        return np.concatenate([part, rest[:, None]], axis=1).astype(np.float32)
+
+    def possible(self, unit: np.ndarray, own: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Which queries and which rows may have a link with each other; ``own`` has the row that is the query itself, or -1."""
+        asked, nodes = np.zeros(len(unit), bool), np.zeros(len(self.v), bool)
+        cut = self.cut(unit)
+        step = max(1, BOUNDED // max(1, len(self.v)))
+        for i in range(0, len(unit), step):
+            most = cut[i : i + step] @ self.v.T
+            itself = np.flatnonzero(own[i : i + step] >= 0)
+            most[itself, own[i : i + step][itself]] = -1
+            rows = np.flatnonzero(most.max(axis=1) >= least)
+            asked[i + rows] = True
+            for row in rows.tolist():
+                nodes |= most[row] >= least
+        return asked, nodes
+
+
+class _Shard:
+    """The members of a shard (rows of ``v``) with their ids and times, and the queries that wait for its graph."""
+
+    def __init__(self, ids: np.ndarray, times: np.ndarray, v: np.ndarray):
+        self.ids, self.times = ids, times
+        self.exact = v / np.linalg.norm(v, axis=1, keepdims=True)
+        self.order = np.argsort(ids)
+        self.bound = Bound(self.exact)
+        self.nodes, self.graph = np.zeros(len(ids), bool), None
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def ask(self, ids: np.ndarray, times: np.ndarray, v: np.ndarray) -> bool:
+        """Take queries; true if those that wait should be answered."""
+        unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+        at = self.order[np.minimum(np.searchsorted(self.ids, ids, sorter=self.order), len(self.ids) - 1)]
+        own = np.where(self.ids[at] == ids, at, -1)
+        asked, nodes = self.bound.possible(unit, own, THRESHOLD - 1e-4)
+        if (nodes & ~self.nodes).any():
+            self.nodes, self.graph = self.nodes | nodes, None
+        if asked.any():
+            self.held.append((ids[asked], times[asked], unit[asked]))
+        return sum(x.nbytes for _, _, x in self.held) > HELD
+
+    def answers(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(ids of the queries, their times, query, row) of links, of the queries that wait."""
+        if not self.held:
+            return
+        ids, times, unit = (np.concatenate(c) for c in zip(*self.held, strict=True))
+        self.held, kept = [], np.flatnonzero(self.nodes)
+        if self.graph is None:
+            self.graph = Graph(self.exact[kept].astype(np.float32))
+        for i in range(0, len(ids), TOGETHER):
+            own, asked = ids[i : i + TOGETHER], unit[i : i + TOGETHER]
+            q, node = self.graph.links_of(asked.astype(np.float32), THRESHOLD - 1e-5)
+            node = kept[node]
+            good = np.concatenate([np.einsum("ij,ij->i", asked[q[k : k + 50_000]], self.exact[node[k : k + 50_000]]) for k in range(0, len(q), 50_000)] or [np.zeros(0)])
+            good = (good >= THRESHOLD) & (own[q] != self.ids[node])
+            yield own, times[i : i + TOGETHER], q[good], node[good]
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, query, node, times, vector), members before queries: links of each query, and links that span.
+    """Rows (shard, query, node, times, vector), members before queries: links of each node, and links that span.
 
-    The vectors of a shard have one length; a batch may have shards of several.
+    Members have 0 as query, queries that are members 1, and those of other shards 2;
+    of the links of the latter, both ends have their number here.  The vectors of a
+    shard have one length; a batch may have shards of several.
     """
     none = pa.nulls
 
@@ -218,37 +296,39 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns += [pa.concat_arrays([none(x, pa.int64()), pa.array(c, pa.int64())]) for c in (a, b)]
         return pa.RecordBatch.from_arrays(columns, names=["node", "n_links", "a", "b"])
 
-    shard, graph, members = None, None, []
-    exact = np.zeros((0, 0))
+    def answers(held: _Shard | None, foreign: bool) -> Iterator[pa.RecordBatch]:
+        for ids, times, q, node in held.answers() if held else ():
+            n = np.bincount(q, held.times[node], len(ids)).astype(np.int64)
+            both, numbers = ids, n
+            if foreign:
+                rows, at = np.unique(node, return_inverse=True)
+                both, numbers = np.append(ids, held.ids[rows]), np.append(n, np.bincount(at, times[q], len(rows)).astype(np.int64))
+            yield rows_of(both, numbers, *_spanning(ids[q], held.ids[node]))
+
+    now, held, members = None, None, []
     for batch in batches:
         shards, query = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         ids, times = batch.column(2).to_numpy(), batch.column(3).to_numpy()
         vectors, at = batch.column(4), 0
         while at < batch.num_rows:
-            if shards[at] != shard:
-                shard, graph, members = shards[at], None, []
-            upto = at + int(np.argmax(np.append((shards[at:] != shard) | (query[at:] != query[at]), True)))
+            if (shards[at], query[at]) != now:
+                if now and now[1]:
+                    yield from answers(held, now[1] == 2)
+                if not now or shards[at] != now[0]:
+                    held, members = None, []
+                now = shards[at], query[at]
+            upto = at + int(np.argmax(np.append((shards[at:] != shards[at]) | (query[at:] != query[at]), True)))
             own_vectors = vectors.slice(at, upto - at).flatten().to_numpy().astype(np.float64).reshape(upto - at, -1)
             if not query[at]:
                 members.append((ids[at:upto], times[at:upto], own_vectors))
-                at = upto
-                continue
-            if graph is None:
-                own_ids, own_times, own = (np.concatenate(c) for c in zip(*members, strict=True)) if members else (ids[:0], times[:0], own_vectors[:0])
-                exact = own / np.linalg.norm(own, axis=1, keepdims=True)
-                graph, members = Graph(exact.astype(np.float32)), []
-            for i in range(at, upto, TOGETHER):
-                j = min(upto, i + TOGETHER)
-                asked = own_vectors[i - at : j - at]
-                unit = asked / np.linalg.norm(asked, axis=1, keepdims=True)
-                if graph.n:
-                    q, node = graph.links_of(unit.astype(np.float32), THRESHOLD - 1e-5)
-                    good = np.concatenate([np.einsum("ij,ij->i", unit[q[k : k + 50_000]], exact[node[k : k + 50_000]]) for k in range(0, len(q), 50_000)] or [np.zeros(0)])
-                    good = (good >= THRESHOLD) & (ids[i:j][q] != own_ids[node])
-                    q, node = q[good], node[good]
-                    n = np.bincount(q, own_times[node], j - i).astype(np.int64)
-                    yield rows_of(ids[i:j], n, *_spanning(ids[i:j][q], own_ids[node]))
+            else:
+                if members:
+                    held, members = _Shard(*(np.concatenate(c) for c in zip(*members, strict=True))), []
+                if held and held.ask(ids[at:upto], times[at:upto], own_vectors):
+                    yield from answers(held, query[at] == 2)
             at = upto
+    if now and now[1]:
+        yield from answers(held, now[1] == 2)
 
 
 def near_duplicates(vectors: DataFrame, shards: int | None = None, id_col="vec_id", vector_col="embedding") -> DataFrame:
@@ -275,9 +355,13 @@ def near_duplicates(vectors: DataFrame, shards: int | None = None, id_col="vec_i
 
     # the shards of each length are numbered apart
     place = lambda shard: (F.col("length") * shards + shard).alias("shard")
-    index = members.select(place(F.pmod(F.xxhash64("node"), F.lit(shards))), F.lit(0).alias("query"), "node", "times", "v")
-    asked = members.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    asked = asked.select(place(F.col("s")), F.lit(1).alias("query"), "node", "times", "v")
+    members_at = members.withColumn("home", F.pmod(F.xxhash64("node"), F.lit(shards)))
+    index = members_at.select(place(F.col("home")), F.lit(0).alias("query"), "node", "times", "v")
+    # a shard and the half behind it, in a ring; of the two of an even ring that face each other one asks
+    asked = members_at.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(shards // 2))))
+    asked = asked.where((2 * F.col("s") != shards) | (2 * F.col("home") < shards))
+    query = F.when(F.col("s") == 0, 1).otherwise(2).alias("query")
+    asked = asked.select(place((F.col("home") + F.col("s")) % shards), query, "node", "times", "v")
     dealt = index.unionByName(asked).repartitionByRange(shards, "shard").sortWithinPartitions("shard", "query")
     found = materialise(dealt.mapInArrow(_compare, "node bigint, n_links bigint, a bigint, b bigint"), "vector-links")
 

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 import zstandard
@@ -542,6 +543,37 @@ def test_vectors_of_many_lengths_and_shared_ids(spark):
     assert (found <= linked.sum(axis=1)).all() and found.sum() >= 0.99 * linked.sum() > 1500
 
 
+def test_a_graph_has_only_what_may_have_a_link(monkeypatch):
+    """Every query used to be searched in a graph of all members of every shard; of a foreign query's links both ends are counted."""
+    sizes, graph = [], hnsw.Graph
+    monkeypatch.setattr(hnsw, "Graph", lambda v: sizes.append(len(v)) or graph(v))
+    rng = np.random.default_rng(11)
+    v = rng.normal(size=(2000, 48))
+    asked = rng.normal(size=(600, 48))
+    asked[:20] = 2 * v[:20] + 0.01 * rng.normal(size=(20, 48))
+    rows = [(0, 0, i, 1 + i % 2, x) for i, x in enumerate(v.tolist())] + [(0, 2, 5000 + i, 3, x) for i, x in enumerate(asked.tolist())]
+    names = ["shard", "query", "node", "times", "v"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=names)
+    found = pa.Table.from_batches(hnsw._compare(iter([batch.slice(0, 900), batch.slice(900)]))).to_pylist()
+    links = Counter({r["node"]: r["n_links"] for r in found if r["n_links"]})
+    assert links == {i: 3 for i in range(20)} | {5000 + i: 1 + i % 2 for i in range(20)}
+    assert {tuple(sorted((r["a"], r["b"]))) for r in found if r["a"] is not None} == {(i, 5000 + i) for i in range(20)}
+    assert sizes == [20]
+
+
+@pytest.mark.parametrize("width", [1, 2, 30, 700])
+def test_bounds_lose_no_link(width):
+    rng = np.random.default_rng(width)
+    v = rng.normal(size=(500, width)) * rng.random(width) ** 3
+    v[250:] = v[:250] + 0.2 * np.linalg.norm(v[:250], axis=1, keepdims=True) * rng.normal(size=(250, width)) / np.sqrt(width)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    own = np.where(np.arange(500) < 100, np.arange(500), -1)
+    close = v @ v.T >= 0.95
+    close[np.arange(100), np.arange(100)] = False
+    asked, nodes = hnsw.Bound(v).possible(v, own, 0.95 - 1e-4)
+    assert (asked >= close.any(axis=1)).all() and (nodes >= close.any(axis=0)).all()
+
+
 def test_language_held_out(spark, odd, empty):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     learned = language.train(docs, ~held_out(F.col("doc_id")))
